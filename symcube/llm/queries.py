@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symcube.llm import exact_dedup
+from symcube.llm import exact_dedup, secrets
 from symcube.llm.common import read
 
 
@@ -14,8 +14,13 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read(spark, sf_dir, "documents")).drop("findings")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_secret_scan": op5_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
