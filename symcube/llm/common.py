@@ -37,8 +37,9 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a DataFrame, without running a job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate of a DataFrame, without running a job; 0 where it knows none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
 
 
 def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:

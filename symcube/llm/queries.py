@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symcube.llm import exact_dedup, secrets
+from symcube.llm import exact_dedup, packing, secrets, sstable
 from symcube.llm.common import read
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_sstable_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = sstable.write_shards(read(spark, sf_dir, "documents"), tokenizer(), end_id=2)
+    return sstable.read_shards(manifest)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -18,9 +29,15 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read(spark, sf_dir, "documents")).drop("findings")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer(), length=2048, end_id=1, keep_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sstable_shards": op1_sstable_shards,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_secret_scan": op5_secret_scan,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {
