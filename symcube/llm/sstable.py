@@ -148,11 +148,15 @@ class Reader:
         fs, name = pafs.FileSystem.from_uri(path)
         self.file = fs.open_input_file(name)
         size = self.file.size()
+        if size < FOOTER.size:
+            raise ValueError(f"{path} is no complete shard")
         foot = FOOTER.unpack(self.file.read_at(FOOTER.size, size - FOOTER.size))
         index_at, index_len, bloom_at, bloom_len, self.docs, self.tokens, self.width, self.probes, crc, magic = foot
-        index, self.bloom = self.file.read_at(index_len, index_at), self.file.read_at(bloom_len, bloom_at)
-        if magic != MAGIC or zlib.crc32(self.bloom, zlib.crc32(index)) != crc:
+        if magic != MAGIC:
             raise ValueError(f"{path} is no complete shard")
+        index, self.bloom = self.file.read_at(index_len, index_at), self.file.read_at(bloom_len, bloom_at)
+        if zlib.crc32(self.bloom, zlib.crc32(index)) != crc:
+            raise ValueError(f"{path} is damaged")
         self.last: list[bytes] = []
         self.where: list[tuple[int, int, int]] = []
         at = 0
