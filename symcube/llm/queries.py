@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symcube.llm import exact_dedup, packing, secrets, sstable
+from symcube.llm import decontaminate, exact_dedup, langid, packing, quality, secrets, sstable, url_filter
 from symcube.llm.common import read
 
 
@@ -25,10 +25,41 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read(spark, sf_dir, "documents")).drop("findings")
 
 
+# The contract's rules (host, path, verdict).
+RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no list of URLs: the urls of pages with an id divisible by 20 stand in for one."""
+    pages = read(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_filter.filter_urls(pages, rules, pages.where("page_id % 20 = 0").select("url"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer(), length=2048, end_id=1, keep_ids=False)
 
@@ -36,7 +67,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sstable_shards": op1_sstable_shards,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality": op4_quality,
     "op5_secret_scan": op5_secret_scan,
+    "op6_url_filter": op6_url_filter,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_language": op8_language,
     "op9_packing": op9_packing,
 }
 
@@ -52,4 +87,44 @@ ORACLES: dict[str, str] = {
                row_number() OVER w = 1 AS kept,
                h AS text_sha256
         FROM t WINDOW w AS (PARTITION BY h ORDER BY length(body) DESC, doc_id)""",
+    "op6_url_filter": r"""
+        WITH r AS (
+            SELECT page_id, CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '^.*?://(.*)$', 1, 's') ELSE '' END AS rest FROM pages),
+        p AS (
+            SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+        c AS (SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') AS own FROM p),
+        j AS (
+            SELECT page_id, host, path,
+                   CASE WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+                        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+                        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+                        WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule,
+                   own <> '' AND own IN (SELECT own FROM c WHERE page_id % 20 = 0) AS listed
+            FROM c)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block'
+                    WHEN rule IS NOT NULL THEN 'allow'
+                    WHEN listed THEN 'block' ELSE 'allow' END AS verdict,
+               listed FROM j""",
+    "op7_decontaminate": r"""
+        WITH words AS (
+            SELECT 0 AS kind, doc_id AS id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]', ' ', 'g'),
+                   '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+            UNION ALL
+            SELECT 1, item_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]', ' ', 'g'),
+                   '[\x20\x09-\x0D]+'), x -> x <> '') FROM benchmark),
+        items AS (SELECT id, least(5, len(w)) AS k, w FROM words WHERE kind = 1 AND len(w) > 0),
+        ishing AS (SELECT DISTINCT id, k, array_to_string(list_slice(w, g, g + k - 1), ' ') AS s
+                   FROM (SELECT *, unnest(generate_series(1, len(w) - k + 1)) AS g FROM items)),
+        dshing AS (SELECT DISTINCT id, k, array_to_string(list_slice(w, g, g + k - 1), ' ') AS s
+                   FROM (SELECT d.id, x.k, d.w, unnest(generate_series(1, len(d.w) - x.k + 1)) AS g
+                         FROM words d, (SELECT DISTINCT k FROM items) x WHERE d.kind = 0 AND len(d.w) >= x.k)),
+        n AS (SELECT id, count(*) AS n FROM ishing GROUP BY id),
+        f AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS f FROM ishing i JOIN dshing d USING (k, s) GROUP BY 1, 2)
+        SELECT doc_id, item_id, n AS n_shingles, f AS n_found, f / n AS containment
+        FROM f JOIN n ON n.id = f.item_id WHERE f >= 0.8 * n""",
 }
