@@ -1,0 +1,4 @@
+"""Structured Streaming has no counterpart in the data model: a bundle is written once and read whole.
+
+Bundles are plain Parquet directories, so ``spark.readStream`` works on their ``data`` folders.
+"""
