@@ -1,24 +1,60 @@
-"""A training-data pipeline: each stage reads what its predecessor wrote."""
+"""A training-data pipeline over the table ``documents``.
+
+Each stage takes what its predecessor wrote and returns the documents that stay, with the columns of
+``documents``; the last one returns packed sequences.  Rows that no stage has a reason to drop stay
+as they are, null ids and null values in other columns included.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symcube.llm.common import materialize
-from symcube.llm.exact_dedup import keep_first
+from symcube.llm import decontaminate, exact_dedup, ngram_join, packing, quality
+from symcube.llm.common import materialize, read
+from symcube.llm.queries import tokenizer
+
+#: Near duplicates: shingles of five words, Jaccard similarity of 0.8 or more.
+WORDS, LINK = 5, (80, 100)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a classifier, trained on the labelled documents of the input, rejects go."""
+    return quality.keep_good(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group with equal texts, apart from white space, stays."""
+    return exact_dedup.keep_first(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that with the smallest id."""
+    return ngram_join.keep_first_of_class(docs, words=WORDS, link=LINK)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact dedup: one row of each group of equal texts stays."""
-    return keep_first(docs)
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 2,048 tokens."""
+    return packing.pack(docs, tokenizer(), length=2048, end_id=1)
 
 
-STAGES = [("exact_dedup", dedup)]
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("exact_dedup", drop_copies),
+    ("ngram_join", drop_near_copies),
+    ("decontamination", drop_benchmark_leaks),
+    ("packing", pack),
+]
+#: Trained and hashed stages have no SQL form; tests/llm/test_pipeline.py compares with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
