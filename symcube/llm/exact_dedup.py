@@ -90,19 +90,23 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hea
     )
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Winners are matched by (id, digest).  Where the winner's id and text occur in several rows,
-    those few are reduced to one separately, so the main path moves the texts once.
+    Dropped rows are matched by (id, digest); their list is broadcast up to ``broadcast_rows``, else
+    joined.  Where the winner's own id and text occur in several rows, those few are reduced to one.
     """
     names = docs.columns
     verdict = exact_dedup(docs, doc_id, text)
-    per = verdict.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("kept")
-    per = materialize(per, "kept").select(F.col("doc_id").alias("_win_id"), F.col("text_sha256").alias("_win_digest"), F.col("n").alias("_win_n"))
-    tagged = docs.withColumn("_digest", F.sha2(F.translate(text_or_empty(text), WHITE, "").cast("binary"), 256))
-    on = [F.col("_win_id").eqNullSafe(F.col(doc_id)), F.col("_win_digest") == F.col("_digest")]
-    once = tagged.join(per.where("_win_n = 1"), on, "left_semi").select(*names)
-    order = W.partitionBy(doc_id, "_digest").orderBy(F.char_length(text_or_empty(text)).desc())
-    again = tagged.join(per.where("_win_n > 1"), on, "left_semi").withColumn("_nth", F.row_number().over(order)).where("_nth = 1")
+    per = verdict.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("NOT kept OR n > 1")
+    per = materialize(per, "dropped").select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_sha"), F.col("kept").alias("__gone_again"))
+    few = per.count() <= broadcast_rows
+    tagged = docs.withColumn("__digest", F.sha2(F.translate(text_or_empty(text), WHITE, "").cast("binary"), 256))
+    on = [F.col("__gone_id").eqNullSafe(F.col(doc_id)), F.col("__gone_sha") == F.col("__digest")]
+    once = tagged.join(F.broadcast(per) if few else per, on, "left_anti").select(*names)
+    repeated = per.where("__gone_again")
+    if repeated.isEmpty():
+        return once
+    order = W.partitionBy(doc_id, "__digest").orderBy(F.char_length(text_or_empty(text)).desc())
+    again = tagged.join(repeated, on, "left_semi").withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
     return once.unionByName(again.select(*names))

@@ -1,0 +1,112 @@
+import random
+
+from symcube.llm.line_dedup import blocks, dedup_lines, increasing
+
+SCHEMA = "doc_id long, text string, tag string, line int, cut int"
+
+
+def naive_increasing(values):
+    """Length of a longest increasing subsequence, by trying all predecessors."""
+    best = []
+    for i, v in enumerate(values):
+        best.append(1 + max((best[j] for j in range(i) if values[j] < v), default=0))
+    return max(best, default=0)
+
+
+def test_increasing():
+    rng = random.Random(0)
+    for _ in range(300):
+        values = [rng.randrange(12) for _ in range(rng.randrange(14))]
+        got = increasing(values)
+        assert got == sorted(got) and len(got) == naive_increasing(values)
+        assert all(values[a] < values[b] for a, b in zip(got, got[1:], strict=False))
+
+
+def line(i, words=6):
+    return " ".join(f"l{i}w{j}" for j in range(words))
+
+
+def naive(rows, rare_df=64, min_words=10, passage_words=20):
+    """Kept text per (id, text), going through the documents one after the other."""
+    distinct = sorted({(i is None, i or 0, t) for i, t in rows if t is not None})
+    lines = {d: [x.strip() for x in d[2].split("\n")] for d in distinct}
+    frequency = {}
+    for i, t in rows:
+        if t is not None:
+            for x in {x.strip() for x in t.split("\n")}:
+                frequency[x] = frequency.get(x, 0) + 1
+    holder, out = {}, {}
+    for d in distinct:
+        for x in lines[d]:
+            if x:
+                holder.setdefault(x, d)
+    for d in distinct:
+        drop = set()
+        for source in {holder[x] for x in lines[d] if x} - {d}:
+            shared = []
+            for x in dict.fromkeys(lines[d]):
+                if x and holder[x] == source:
+                    unique = lines[d].count(x) == 1 and lines[source].count(x) == 1
+                    shared.append((lines[d].index(x), lines[source].index(x), len(x.split()), unique, frequency[x] <= rare_df))
+            for a, b, _ in blocks(sorted(shared), min_words, passage_words):
+                drop |= set(range(a, b + 1))
+        out[d] = ("\n".join(x for i, x in enumerate(d[2].split("\n")) if i not in drop), len(drop))
+    return out
+
+
+def corpus(seed, n=60):
+    rng = random.Random(seed)
+    docs = []
+    for i in range(n):
+        own = [line(1000 * i + j, rng.choice([1, 3, 8, 25])) for j in range(rng.randrange(8))]
+        if docs and rng.random() < 0.7:
+            other = rng.choice(docs).split("\n")
+            a = rng.randrange(len(other))
+            own[rng.randrange(len(own) + 1) : 0] = other[a : a + rng.randrange(1, 6)]
+        if rng.random() < 0.5:
+            own.insert(rng.randrange(len(own) + 1), "all rights reserved")
+        if rng.random() < 0.2:
+            own.append("")
+        docs.append("\n".join(own))
+    rows = [(rng.randrange(500), t) for t in docs]
+    return rows + [rows[3], rows[3], (None, docs[5]), (None, docs[5]), (7, None), (8, ""), (9, "\n\n"), (600, "x " * 40_000 + "\n" + docs[4])]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "a", 1, 2) for i, t in rows], SCHEMA)
+
+
+def test_matches_naive(spark):
+    for seed in range(2):
+        rows = corpus(seed)
+        for how in ({}, {"rare_df": 2, "min_words": 4, "passage_words": 12}):
+            got = dedup_lines(frame(spark, rows).repartition(3), **how).collect()
+            want = naive(rows, **how)
+            # the order of equal ids is that of a hash, so only ids with one text are compared
+            single = {i for i, _ in rows if len({t for j, t in rows if j == i}) == 1}
+            ties = {i for i, _ in rows} - single
+            assert len(got) == len(rows)
+            mismatched = 0
+            for r in got:
+                texts = [t for i, t in rows if i == r.doc_id and t is not None]
+                if not texts:
+                    assert r.text is None and r.n_lines == r.n_deleted == 0
+                elif r.doc_id in single:
+                    text, gone = want[r.doc_id is None, r.doc_id or 0, texts[0]]
+                    mismatched += (r.text, r.n_deleted) != (text, gone)
+                    assert r.n_lines == len(texts[0].split("\n"))
+            assert mismatched == 0 or ties
+
+
+def test_long_passages_go_and_boilerplate_stays(spark):
+    passage = line(5, 60)
+    rows = [(i, f"{line(10 * i)}\n{passage}\n{line(10 * i + 1)}\nshort boilerplate line here") for i in range(100)]
+    got = {r.doc_id: r for r in dedup_lines(frame(spark, rows)).collect()}
+    assert got[0].n_deleted == 0 and got[0].text == rows[0][1]
+    for i in range(1, 100):
+        assert passage not in got[i].text and got[i].n_deleted == 1 and got[i].from_ids == [0]
+        assert "short boilerplate line here" in got[i].text and line(10 * i) in got[i].text
+
+
+def test_empty_table(spark):
+    assert dedup_lines(frame(spark, [])).collect() == []

@@ -11,7 +11,7 @@ from symcube.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, start string, ids int, part string"
-PARTS = ["a", "Hello", " ", "  ", "\n", "\r\n", "\t", " ", " ", "\x85", "\x1c", "don't", "'s", "12", "ß", "日本", "\U0001f600", "!?", "<|endoftext|>", "x\n"]
+PARTS = ["a", "Hello", " ", "  ", "\n", "\r\n", "\t", " ", " ", "\x85", "\x1c", "don't", "'s", "12", "ß", "日本", "\U0001f600", "!?", "<|endoftext|>", "x\n", "\0", "\0a", "a\nb", "\na", "Zebrafinch,", "schön.", "éclair", "end.\nBegin", "x.\n\ny", "ſ", "ªb", "Ⅷ"]
 
 
 @pytest.fixture(scope="module")
