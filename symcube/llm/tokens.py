@@ -2,52 +2,122 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-#: A single space between two non-space characters always begins a new pre-token of byte-level BPE,
-#: so such texts may be encoded word by word.  Any space next to other white space rules that out.
-_UNSAFE = re.compile(r"\s | \s")
+#: Byte-level BPE writes printable Latin-1 bytes as themselves and the n-th other byte as chr(256 + n).
+_OTHER = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_BYTE_ALPHABET = {b: chr(256 + n) for n, b in enumerate(_OTHER)}
+_SPACE = _BYTE_ALPHABET[ord(" ")]
+#: Letters of the scripts before this one are letters in every version of Unicode in use.
+_SURE = "\u0530"
+#: Letters (or what may be), then punctuation without the apostrophe of contractions.
+_MARKED = re.compile(r"(\0?[^\W\d_]+)([^\w\s']+)")
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-class Encoder:
-    """Encodes texts to little-endian id bytes; ids of repeated words come from a bounded cache."""
+class _Whole(Exception):
+    """A piece that can't be encoded apart from its text."""
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+
+class Encoder(dict):
+    """Encodes texts to little-endian id bytes; ids of repeated words come from a bounded cache.
+
+    A single space between two non-space characters always begins a new pre-token of byte-level BPE, so
+    a text whose spaces are all of that kind may be encoded word by word; others are encoded whole.
+    A word of letters is one pre-token and goes straight to the merges; punctuation after it, and a
+    single line break between non-space characters, are pre-tokens of their own.  Other words take the
+    tokenizer's whole way.  The cache is this dict: a word as it stands after a space, or "\\0" and a
+    word that begins a text or line -> ids.  It has two generations of at most ``cache_words`` words.
+    """
+
+    def __init__(self, path: str, cache_words: int = 200_000):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        self.model = self.tok.model
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.limit = cache_words
-        self.words: dict[str, bytes] = {}  # as they stand after a space
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.line = self._plain(["\n"])[0]
+        conf = json.loads(self.tok.to_str())
+        split = conf["pre_tokenizer"] or {}
+        #: whether the facts about pre-tokens that this class relies on hold for this tokenizer
+        self.bytewise = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        self.bytewise = bool(self.bytewise and not conf["normalizer"] and conf["model"]["type"] == "BPE")
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.older.get(word)
+        if out is None:
+            out = self._new(word)
+        self[word] = out
+        return out
+
+    def _new(self, word: str) -> bytes:
+        first = word[:1] == "\0"
+        bare = word[1:] if first else word
+        if bare.isalpha():
+            if bare.isascii():
+                return array(self.code, [t.id for t in self.model.tokenize(bare if first else _SPACE + bare)]).tobytes()
+            if max(bare) < _SURE:
+                mapped = bare.encode().decode("latin-1").translate(_BYTE_ALPHABET)
+                return array(self.code, [t.id for t in self.model.tokenize(mapped if first else _SPACE + mapped)]).tobytes()
+            return self._plain([bare if first else " " + bare])[0]
+        if (m := _MARKED.fullmatch(word)) and m[1].lstrip("\0").isalpha():
+            mark = self.marks.get(m[2])
+            if mark is None:
+                mark = self._plain([m[2]])[0]
+                if len(self.marks) < 50_000:
+                    self.marks[m[2]] = mark
+            return self[m[1]] + mark
+        if not bare:
+            if first:
+                return b""
+            raise _Whole
+        if bare[0].isspace() or bare[-1].isspace() or "\0" in bare:
+            raise _Whole
+        if "\n" in bare:
+            parts = bare.split()
+            n = bare.count("\n")
+            if len(parts) == n + 1 and sum(map(len, parts)) + n == len(bare):
+                return self.line.join([self[word[0] + parts[0] if first else parts[0]], *(self["\0" + x] for x in parts[1:])])
+        return self._plain([bare if first else " " + bare])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if _UNSAFE.search(t)]
-        split = {i: t.split(" ") for i, t in enumerate(texts)}
-        for i in whole:
-            split[i] = []
-        first = self._plain([texts[i] if not p else p[0] for i, p in split.items()])
-        need = set().union(*(p[1:] for p in split.values()))
-        new = [w for w in need if w not in self.words]
-        if len(self.words) + len(new) > self.limit:
-            self.words.clear()
-            new = list(need)
-        self.words.update(zip(new, self._plain([" " + w for w in new]), strict=True))
-        get = self.words.__getitem__
-        return [f + b"".join(map(get, p[1:])) for f, p in zip(first, split.values(), strict=True)]
-
-
-def encoder(path: str, cache_words: int = 400_000) -> Encoder:
+        if not self.bytewise:
+            return self._plain(texts)
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        get, out = self.__getitem__, []
+        for t in texts:
+            if "\0" in t:
+                out += self._plain([t])
+                continue
+            pieces = t.split(" ")
+            pieces[0] = "\0" + pieces[0]
+            try:
+                out.append(b"".join(map(get, pieces)))
+            except _Whole:
+                out += self._plain([t])
+        return out
+
+
+def encoder(path: str, cache_words: int = 200_000) -> Encoder:
     """The worker's encoder of this vocabulary; Python workers are reused, and so is its cache."""
     key = (path, cache_words)
     if key not in _ENCODERS:
