@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symcube.llm import decontaminate, exact_dedup, langid, packing, quality, secrets, sstable, url_filter
+from symcube.llm import decontaminate, exact_dedup, langid, line_dedup, ngram_join, packing, quality, secrets, sstable, url_filter
 from symcube.llm.common import read
 
 
@@ -21,6 +21,10 @@ def op1_sstable_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(manifest)
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(read(spark, sf_dir, "documents"), words=3, link=(90, 100))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -64,8 +68,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer(), length=2048, end_id=1, keep_ids=False)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sstable_shards": op1_sstable_shards,
+    "op2_ngram_join": op2_ngram_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
     "op5_secret_scan": op5_secret_scan,
@@ -73,9 +82,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_language": op8_language,
     "op9_packing": op9_packing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(w, g, g + 2), ' ') AS g
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS g FROM w WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n, bit_xor(hash(g)) AS h FROM s GROUP BY doc_id),
+        r AS (SELECT min(doc_id) AS rep, n, h FROM n GROUP BY n, h),
+        t AS (SELECT s.doc_id, s.g FROM s JOIN r ON s.doc_id = r.rep),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        walk AS (SELECT rep AS node, rep AS low FROM r UNION SELECT e.b, walk.low FROM walk JOIN e ON e.a = walk.node WHERE walk.low < e.b),
+        m AS (SELECT node, min(low) AS low FROM walk GROUP BY node)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, CASE WHEN n.n IS NULL THEN d.doc_id ELSE m.low END AS component_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN r ON r.n = n.n AND r.h = n.h LEFT JOIN m ON m.node = r.rep""",
     "op3_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, coalesce(text, '') AS body,
