@@ -41,7 +41,8 @@ def word_features(words: list[str], low: int, high: int, bits: int, whole: bool)
 def slices(texts: list[str | None], max_chars: int = 400_000) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
     """(distinct words, word numbers of all words, document numbers of all words) of bounded slices.
 
-    A document longer than a slice is continued in the next one, so memory doesn't grow with a text.
+    A document longer than a slice is continued in the next one, so memory does not grow with a text; a word
+    longer than a whole slice is cut.
     """
     vocab: dict[str, int] = {}
     index: list[int] = []
