@@ -1,26 +1,30 @@
 """N-gram Jaccard join with token-combination prefixes.
 
 A document's set holds its distinct three-word shingles, as 64-bit hashes.  Equal sets are one class
-from the start.  All tokens have one global order: rare tokens first, then the frequent ones, each by
-hash.  A set of n tokens can lose at most t = n - ceil(0.9 n) of them and still link, so it indexes a
-prefix in that order from which no t tokens can remove every signature.  A rare token is a signature by
-itself.  Frequent tokens are dealt into subclasses by hash, and their signatures are the pairs of
-tokens of one subclass; a subclass with m tokens in the prefix withstands the loss of m - 1, so the
-prefix is extended by one token for each subclass.  The number of subclasses grows with the set's size
-(by powers of two; sets near a boundary are indexed for both sides), which keeps the pairs of a long
-document in proportion to its length.
+from the start.  All tokens have one global order: tokens of a single document first, then rare ones,
+then frequent ones, each by hash.  A set of n tokens can lose at most t = n - ceil(0.9 n) of them and
+still link, so it indexes a prefix in that order from which no t tokens can remove every signature.  A
+rare token is a signature by itself.  Frequent tokens are dealt into subclasses by hash, and their
+signatures are the pairs of tokens of one subclass; a subclass with m tokens in the prefix withstands
+the loss of m - 1, so the prefix is extended by one token for each subclass.  The number of subclasses
+grows with the set's size (by powers of two; sets near a boundary are indexed for both sides), which
+keeps the pairs of a long document in proportion to its length.  Unique tokens take up their place in
+the prefix, but need no index entry.
+
+Which token is unique, rare or frequent: of all documents, every token whose hash lies in the lowest
+part of the hash range (nearly twice the prefix's share of a set) is counted exactly; the prefix rarely
+reaches further, as it takes the tokens with the lowest hashes first.  Tokens above that are treated
+like frequent ones.  The tokens of several documents go into a Bloom filter of at most ``bloom_bytes``,
+the at most ``max_frequent`` most frequent ones into a list; both are broadcast.  Whatever the filter
+and the list hold, the result is the same, only its cost differs.
 
 Sets that share a signature are candidates.  Each signature points to its first holder, and the
 connected components of that star graph are the candidate clusters: no bucket is ever expanded to its
 pairs.  Signatures that hold a large share of all rows are found by a frequent-items sketch and
 resolved by map-side aggregation.  A cluster's sets are verified exactly, pair by pair, with an
 inverted index over the cluster; pairs already known to be connected are skipped.  Clusters of more
-than ``block_tokens`` tokens are cut into blocks, and each pair of blocks is a task of its own.
-
-The frequent tokens: of all documents, every token whose hash lies in the lowest part of the hash range
-(nearly twice the prefix's share of a set) is counted exactly; the prefix rarely reaches further, as it takes the tokens with the lowest hashes first.
-Tokens above that are treated like frequent ones.  At most ``max_frequent`` tokens, those in the most
-documents, are broadcast (8 bytes each).  None of this influences the result, only its cost.
+than ``block_tokens`` tokens are cut into blocks by size and hash, and each pair of blocks of compatible
+sizes is a task of its own.
 
 Defined results
 ---------------
@@ -43,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from symcube.llm import bloom
 from symcube.llm.common import materialize
 from symcube.llm.decontaminate import _chunks, mix, shingles, word_hashes
 from symcube.llm.graph import connected_components
@@ -86,33 +91,52 @@ def _levels(n: int, link: tuple[int, int]) -> range:
     return range(least_overlap(n, link).bit_length(), (n * link[1] // link[0]).bit_length() + 1)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, link: tuple[int, int] = LINK) -> np.ndarray:
+class Tokens:
+    """What the corpus says about tokens; the same for every set, whatever it says.
+
+    ``shared`` is a Bloom filter of the counted tokens that occur in several documents, so a counted
+    token that it doesn't hold is unique; ``frequent`` are the sorted frequent tokens.
+    """
+
+    def __init__(self, shared: np.ndarray, frequent: np.ndarray):
+        self.shared, self.frequent = shared, frequent
+
+    def is_shared(self, tokens: np.ndarray) -> np.ndarray:
+        return bloom.may_hold(self.shared, mix(tokens))
+
+    def is_frequent(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.frequent):
+            return np.zeros(len(tokens), bool)
+        at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
+        return self.frequent[at] == tokens
+
+
+def signatures(tokens: np.ndarray, known: Tokens, link: tuple[int, int] = LINK) -> np.ndarray:
     """The signatures of a set; two sets that link, and differ, have one in common."""
     n = len(tokens)
     need = n - least_overlap(n, link) + 1
-    if need == 1 and _levels(n, link)[-1] == n.bit_length() and n * link[1] // link[0] == n:
+    if n * link[1] // link[0] == n:
         return np.zeros(0, np.uint64)  # too small to link with another set
-    front = tokens < counted_range(link)
-    common = ~front
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        known = frequent[at] == tokens
-    else:
-        known = np.zeros(n, bool)
-    # rare tokens; then those never counted; then the frequent ones; each by hash
-    rare = tokens[front & ~known]
+    end = int(np.searchsorted(tokens, counted_range(link)))
+    front = tokens[:end]
+    shared = front[known.is_shared(front)]
+    need -= end - len(shared)  # unique tokens stand first, and no other set indexes them
+    if need <= 0:
+        return np.zeros(0, np.uint64)
+    often = known.is_frequent(shared)
+    rare = shared[~often]
     if len(rare) >= need:
         return mix(rare[:need])
     out = [mix(rare)]
-    rest = np.concatenate([tokens[common & ~known], tokens[known]])
+    rest = np.concatenate([tokens[end:], shared[often]])
     for level in _levels(n, link):
         classes = np.uint64(max(1, (1 << level) // 64))
         own = mix(rest) % classes
         first = np.zeros(len(rest), bool)
         first[np.unique(own, return_index=True)[1]] = True
         gain = len(rare) + np.cumsum(~first)
-        end = int(np.searchsorted(gain, need)) + 1
-        chosen, own = rest[:end], own[:end]
+        stop = int(np.searchsorted(gain, need)) + 1
+        chosen, own = rest[:stop], own[:stop]
         order = np.argsort(own, kind="stable")
         chosen, own = chosen[order], own[order]
         bounds = np.flatnonzero(np.diff(own)) + 1
@@ -176,9 +200,8 @@ def forest(sets: list[np.ndarray], side: np.ndarray | None = None, link: tuple[i
     return label
 
 
-def frequent_tokens(docs: DataFrame, text: str, words: int, link: tuple[int, int], least: int, most: int) -> np.ndarray:
-    """Sorted hashes of the tokens in at least ``least`` documents; of more than ``most``, the most frequent."""
-
+def corpus_tokens(docs: DataFrame, text: str, words: int, link: tuple[int, int], frequent: int, max_frequent: int, bloom_bytes: int) -> Tokens:
+    """Exact document counts of the counted tokens, reduced to a bounded filter and a bounded list."""
     front = counted_range(link)
 
     def task(batches):
@@ -188,16 +211,22 @@ def frequent_tokens(docs: DataFrame, text: str, words: int, link: tuple[int, int
                 yield pa.RecordBatch.from_pydict({"token": np.concatenate(sets[at : at + 2000]).view(np.int64)})
 
     each = docs.select(F.col(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(task, "token long")
-    counts = materialize(each.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= least), "frequent")
-    kept = least
-    above = 0
-    for row in counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("k")).orderBy(F.desc("power")).collect():
+    counts = materialize(each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    kept, above = frequent, 0
+    powers = counts.where(F.col("n") >= frequent).groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("k"))
+    for row in powers.orderBy(F.desc("power")).collect():  # at most 64 rows: tokens per power of two
         above += row.k
-        if above > most:  # at most 64 rows: tokens per power of two of their frequency
+        if above > max_frequent:
             kept = 1 << (row.power + 1)
             break
     found = counts.where(F.col("n") >= kept).select("token").toArrow()["token"].to_numpy()
-    return np.sort(found.astype(np.int64).view(np.uint64))
+
+    def mixed(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"h": mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)})
+
+    shared = bloom.build(counts.select("token").mapInArrow(mixed, "h long"), bloom_bytes)
+    return Tokens(shared, np.sort(found.astype(np.int64).view(np.uint64)))
 
 
 def candidate_edges(index: DataFrame, heavy: int = 1024, tracked: int = 8192) -> DataFrame:
@@ -275,8 +304,9 @@ def _classes(
     text: str = "text",
     words: int = WORDS,
     link: tuple[int, int] = LINK,
-    frequent: int = 32,
+    frequent: int = 8,
     max_frequent: int = 1 << 20,
+    bloom_bytes: int = 64 << 20,
     block_tokens: int = 2_000_000,
     broadcast_ids: int = 1_000_000,
 ) -> DataFrame:
@@ -299,20 +329,33 @@ def _classes(
             )
 
     base = materialize(slim.mapInArrow(measure, f"doc_id {kind}, tag long, n_shingles long, sid long"), "sets")
-    sent = spark.sparkContext.broadcast(frequent_tokens(docs, text, words, link, frequent, max_frequent))
+    sent = spark.sparkContext.broadcast(corpus_tokens(docs, text, words, link, frequent, max_frequent, bloom_bytes))
     index = slim.select("text").where("text IS NOT NULL").mapInArrow(_signature_task(words, link, sent), "sig long, sid long")
     clusters = connected_components(candidate_edges(materialize(index, "index")))
 
     # one row of each clustered set supplies its tokens
     sizes = base.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
     members = materialize(clusters.join(sizes, clusters["node"] == sizes["sid"]).select("sid", "root", "rep", "n"), "members")
-    weights = members.groupBy("root").agg(F.ceil(F.sum("n") / block_tokens).alias("blocks"))
-    large = materialize(weights.where("blocks > 1"), "large")
-    members = members.join(large, "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    members = members.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks"))).withColumnRenamed("sid", "want")
+    # a large cluster is cut by size: linked sets are in the same band or in neighbouring ones
+    members = members.withColumn("band", F.floor(F.log("n") / F.log(F.lit(link[1] / link[0]))))
+    bands = members.groupBy("root", "band").agg(F.sum("n").alias("n"))
+    bands = bands.groupBy("root").agg(F.sum("n").alias("n"), F.collect_list(F.struct("band", F.ceil(F.col("n") / block_tokens).alias("parts"))).alias("parts"))
+    large = materialize(bands.where(F.col("n") > block_tokens).select("root", F.map_from_entries("parts").alias("parts")), "large")
+    members = members.join(large, "root", "left")
+    part = F.pmod(F.xxhash64("sid"), F.element_at("parts", F.col("band")))
+    members = members.withColumn("block", F.when(F.col("parts").isNotNull(), F.col("band") * (1 << 32) + part).otherwise(0))
+    # the blocks that a block meets, itself included
+    near = F.flatten(
+        F.transform(
+            F.filter(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1), lambda b: F.map_contains_key("parts", b)),
+            lambda b: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("parts", b) - 1), lambda p: b * (1 << 32) + p),
+        )
+    )
+    members = members.withColumn("meets", F.when(F.col("parts").isNotNull(), near).otherwise(F.array(F.lit(0).cast("long"))))
+    members = members.select(F.col("sid").alias("want"), "root", "rep", "block", "meets")
     few = members.count() <= broadcast_ids
     wanted = F.broadcast(members) if few else members
-    texts = slim.join(wanted, slim["doc_id"].eqNullSafe(members["rep"])).select("text", "want", "root", "block", "blocks")
+    texts = slim.join(wanted, slim["doc_id"].eqNullSafe(members["rep"])).select("text", "want", "root", "block", "meets")
 
     def tokens(batches):
         for batch in batches:
@@ -321,13 +364,11 @@ def _classes(
             keep = [i for i, (s, w) in enumerate(zip(sets, batch.column(1).to_pylist(), strict=True)) if len(s) and set_id(s) == w]
             picked = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*picked.columns[1:], pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["sid", "root", "block", "blocks", "tokens"]
+                [*picked.columns[1:], pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["sid", "root", "block", "meets", "tokens"]
             )
 
-    rows = texts.mapInArrow(tokens, "sid long, root long, block long, blocks long, tokens binary")
-    # a block meets every block of its cluster, itself included
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other).select(
+    rows = texts.mapInArrow(tokens, "sid long, root long, block long, meets array<bigint>, tokens binary")
+    rows = rows.withColumn("other", F.explode("meets")).select(
         "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "sid", "tokens", "block"
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))

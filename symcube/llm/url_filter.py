@@ -31,13 +31,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from symcube.llm import bloom
 from symcube.llm.common import materialize
 from symcube.llm.packing import _arrow
 
-#: Bytes of one transport segment of the filter (the size that bitmap_or_agg asks for).
-SEGMENT = 4096
-
-
 def host_path(url: str = "url") -> tuple[Column, Column]:
     """Host and path of a url column, as the module's docstring defines them."""
     u = F.coalesce(F.col(url).cast("string"), F.lit(""))
@@ -52,43 +49,13 @@ def canonical(host: Column, path: Column) -> Column:
     return F.concat(F.regexp_replace(host, r"^www\.", ""), F.regexp_replace(path, "/+$", ""))
 
 
-def _probes(hashes: np.ndarray, blocks: int) -> np.ndarray:
-    """Bit numbers, eight rows: one bit in each 32-bit word of the hash's block."""
-    block = (hashes >> np.uint64(32)) % np.uint64(blocks)
-    odd = (np.arange(8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)
-    bit = ((hashes & np.uint64(0xFFFFFFFF)) * odd[:, None] & np.uint64(0xFFFFFFFF)) >> np.uint64(27)
-    return block * np.uint64(256) + np.arange(8, dtype=np.uint64)[:, None] * np.uint64(32) + bit
-
-
 def build_bloom(keys: DataFrame, bloom_bytes: int = 32 << 20) -> np.ndarray:
-    """The filter of the column ``key``, as bytes; built in the executors segment by segment."""
-    n = keys.count()
-    size = SEGMENT
-    while size < bloom_bytes and size * 8 < 12 * n:
-        size *= 2
-
-    def task(batches):
-        bits: dict[int, np.ndarray] = {}
-        for batch in batches:
-            hashes = batch.column(0).to_numpy().astype(np.int64).view(np.uint64)
-            at = np.unique(_probes(hashes, size // 32).ravel()).astype(np.int64)
-            segments, begins = np.unique(at // (8 * SEGMENT), return_index=True)
-            for s, own in zip(segments.tolist(), np.split(at, begins[1:]), strict=True):
-                bits.setdefault(s, np.zeros(8 * SEGMENT, bool))[own - s * 8 * SEGMENT] = True
-        for s, own in bits.items():
-            yield pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "bits": pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())})
-
-    parts = keys.select(F.xxhash64("key")).mapInArrow(task, "segment int, bits binary").groupBy("segment").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
-    out = np.zeros(size, np.uint8)
-    for row in parts.toLocalIterator():
-        out[row.segment * SEGMENT : (row.segment + 1) * SEGMENT] = np.frombuffer(bytes(row.bits), np.uint8)
-    return out
+    """The filter of the column ``key``."""
+    return bloom.build(keys.select(F.xxhash64("key")), bloom_bytes)
 
 
-def may_hold(bloom: np.ndarray, keys: list[str]) -> np.ndarray:
-    hashes = np.array([xxhash.xxh64_intdigest(k.encode(), 42) for k in keys], np.uint64)
-    at = _probes(hashes, len(bloom) // 32).astype(np.int64)
-    return (bloom[at >> 3] >> (at & 7) & 1).all(0)
+def may_hold(bits: np.ndarray, keys: list[str]) -> np.ndarray:
+    return bloom.may_hold(bits, np.array([xxhash.xxh64_intdigest(k.encode(), 42) for k in keys], np.uint64))
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id: str = "page_id", url: str = "url", bloom_bytes: int = 32 << 20, salts: int = 16) -> DataFrame:
@@ -103,7 +70,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id:
     exact = listed.select(canonical(h, p).alias("u")).where("u != ''").distinct().select(F.concat(F.lit("U "), F.col("u")).alias("key"))
     table = materialize(known.unionByName(exact, allowMissingColumns=True), "listed")
     lengths = [r.n for r in table.where("n IS NOT NULL").select("n").distinct().orderBy("n").collect()]  # path lengths: few and bounded
-    bloom = pages.sparkSession.sparkContext.broadcast(build_bloom(table.select("key"), bloom_bytes))
+    sent = pages.sparkSession.sparkContext.broadcast(build_bloom(table.select("key"), bloom_bytes))
     h, p = host_path(url)
     rows = pages.select(F.col(page_id).alias("page_id"), F.monotonically_increasing_id().alias("row"), h.alias("host"), p.alias("path"))
     rows = rows.withColumn("own", canonical(F.col("host"), F.col("path")))
@@ -120,7 +87,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id:
                 if own:
                     keys.append(f"U {own}")
                 ends.append(len(keys))
-            hit = np.flatnonzero(may_hold(bloom.value, keys)) if keys else np.zeros(0, np.int64)
+            hit = np.flatnonzero(may_hold(sent.value, keys)) if keys else np.zeros(0, np.int64)
             offsets = np.concatenate([[0], np.searchsorted(hit, ends)]).astype(np.int32)
             hits = pa.ListArray.from_arrays(pa.array(offsets), pa.array([keys[i] for i in hit], pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(_arrow(kind)), *batch.columns[1:4], hits], names=["page_id", "row", "host", "path", "hits"])
