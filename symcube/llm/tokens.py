@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from array import array
@@ -10,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Byte-level BPE writes printable Latin-1 bytes as themselves and the n-th other byte as chr(256 + n).
 _OTHER = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
@@ -37,10 +37,10 @@ class Encoder(dict):
     word that begins a text or line -> ids.  It has two generations of at most ``cache_words`` words.
     """
 
-    def __init__(self, path: str, cache_words: int = 200_000):
+    def __init__(self, path: str, cache_words: int = 300_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
@@ -51,11 +51,10 @@ class Encoder(dict):
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.line = self._plain(["\n"])[0]
-        conf = json.loads(self.tok.to_str())
-        split = conf["pre_tokenizer"] or {}
+        split = self.tok.pre_tokenizer
         #: whether the facts about pre-tokens that this class relies on hold for this tokenizer
-        self.bytewise = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
-        self.bytewise = bool(self.bytewise and not conf["normalizer"] and conf["model"]["type"] == "BPE")
+        self.bytewise = isinstance(split, pre_tokenizers.ByteLevel) and split.use_regex and not split.add_prefix_space
+        self.bytewise = bool(self.bytewise and self.tok.normalizer is None and isinstance(self.model, models.BPE))
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -117,7 +116,7 @@ class Encoder(dict):
         return out
 
 
-def encoder(path: str, cache_words: int = 200_000) -> Encoder:
+def encoder(path: str, cache_words: int = 300_000) -> Encoder:
     """The worker's encoder of this vocabulary; Python workers are reused, and so is its cache."""
     key = (path, cache_words)
     if key not in _ENCODERS:
@@ -125,19 +124,17 @@ def encoder(path: str, cache_words: int = 200_000) -> Encoder:
     return _ENCODERS[key]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, chunk_chars: int = 2_000_000) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids column, id bytes with the end id) of batches of (doc_id, text), a bounded number of characters at a time."""
+def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, chunk_bytes: int = 2_000_000) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids column, id bytes with the end id) of batches of (doc_id, text), a bounded number of bytes or one text at a time."""
     enc = encoder(path)
     end = np.array([end_id], enc.dtype).tobytes()
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
-        while at < len(texts):
-            size, to = 0, at
-            while to < len(texts) and (to == at or size + len(texts[to] or "") <= chunk_chars):
-                size += len(texts[to] or "")
-                to += 1
-            yield ids[at:to], [x + end for x in enc.encode([t or "" for t in texts[at:to]])]
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chunk_bytes, "right")))
+            part = batch.slice(at, to - at)
+            yield part.column(0).to_pylist(), [x + end for x in enc.encode([t or "" for t in part.column(1).to_pylist()])]
             at = to
 
 
