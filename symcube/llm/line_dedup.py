@@ -177,7 +177,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **h
     cuts = materialize(common_blocks(docs, doc_id, text, **how), "cuts").withColumnsRenamed({"doc_id": "_id", "tag": "_tag"})
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("tag"), F.col(text).cast("string").alias("text"))
     on = [F.col("tag") == F.col("_tag"), F.col("doc_id").eqNullSafe(F.col("_id"))]
-    whole = slim.join(cuts, on, "left").withColumn("mine", F.col("cut").isNotNull())
+    # the cuts grow with the corpus, so this is a sort-merge join at every size
+    whole = slim.join(cuts.hint("merge"), on, "left").withColumn("mine", F.col("cut").isNotNull())
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda x, i: ~F.exists("cut", lambda c: i.between(c["first"], c["last"])))
     deleted = F.aggregate("cut", F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
