@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +63,25 @@ def held_out(doc_id: str = "doc_id", modulus: int = 4, remainder: int = 2) -> Co
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+#: What Python workers keep between tasks, as functions that drop it.
+CACHES: list[Callable[[], None]] = []
+
+
+def sliced(batches: Iterator[pa.RecordBatch], text: int, limit: int = 2_000_000, keep_caches: bool = False) -> Iterator[pa.RecordBatch]:
+    """Record batches with at most ``limit`` bytes in the text column of that number, or a single row.
+
+    Workers are shared by all operators of a job, so unless told to keep them, this first drops what
+    another operator left in memory.
+    """
+    if not keep_caches:
+        for forget in CACHES:
+            forget()
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+            yield batch.slice(at, to - at)
+            at = to

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from symcube.llm.common import sliced
 from symcube.llm.packing import _arrow
 
 SHINGLE, THRESHOLD, HASHES = 5, 0.8, 32
@@ -164,24 +165,11 @@ def indexes(items: DataFrame, item_id: str, text: str, limit: int, hashes: int =
         yield [x.build(hashes) for x in by_k.values()]
 
 
-def _chunks(texts: list[str | None], limit: int = 1_500_000) -> Iterator[tuple[int, list[str | None]]]:
-    """(number of the first text, texts) with a bounded number of characters, or one text."""
-    at = 0
-    while at < len(texts):
-        size, to = 0, at
-        while to < len(texts) and (to == at or size + len(texts[to] or "") <= limit):
-            size += len(texts[to] or "")
-            to += 1
-        yield at, texts[at:to]
-        at = to
-
-
 def _search(texts: list[str | None], index: list[Index], threshold: float) -> Iterator[tuple[int, object, int, int]]:
-    for base, chunk in _chunks(texts):
-        hashes, sizes = word_hashes([words_of(t) for t in chunk])
-        for x in index:
-            for d, i, n, found in x.find(hashes, sizes, threshold):
-                yield base + d, x.ids[i], n, found
+    hashes, sizes = word_hashes([words_of(t) for t in texts])
+    for x in index:
+        for d, i, n, found in x.find(hashes, sizes, threshold):
+            yield d, x.ids[i], n, found
 
 
 def find_leaks(
@@ -205,7 +193,7 @@ def find_leaks(
         sent = spark.sparkContext.broadcast(index)
 
         def task(batches, sent=sent):
-            for batch in batches:
+            for batch in sliced(batches, 1):
                 keys = batch.column(0).to_pylist()
                 rows = [(keys[d], i, n, f, f / n) for d, i, n, f in _search(batch.column(1).to_pylist(), sent.value, threshold)]
                 if rows:
@@ -222,7 +210,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def task(batches, sent=sent):
-            for batch in batches:
+            for batch in sliced(batches, at):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[d for d, *_ in _search(batch.column(at).to_pylist(), sent.value, threshold)]] = False
                 yield batch.filter(pa.array(keep))

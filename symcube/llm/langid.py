@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import held_out
+from symcube.llm.common import held_out, sliced
 from symcube.llm.features import document_sums, sampled_features
 from symcube.llm.packing import _arrow
 
@@ -118,7 +118,7 @@ def fit(docs: DataFrame, per_language: int = 1500, train_words: int = 200, doc_i
     picked = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
 
     def task(batches):
-        for batch in batches:
+        for batch in sliced(batches, 1):
             rows = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
             found = [sampled_features(t.lower(), zlib.crc32(str(i).encode()), train_words, LOW, HIGH, BITS, False) for i, t, _ in rows]
             yield pa.RecordBatch.from_pydict(
@@ -143,7 +143,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def task(batches):
-        for batch in batches:
+        for batch in sliced(batches, 2):
             found = sent.value.predict(batch.column(2).to_pylist(), margin)
             yield pa.RecordBatch.from_arrays(
                 [

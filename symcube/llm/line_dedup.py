@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import materialize
+from symcube.llm.common import materialize, sliced
 from symcube.llm.packing import _arrow
 
 RARE_DF, MIN_WORDS, PASSAGE_WORDS = 64, 10, 20
@@ -115,20 +115,16 @@ def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     types = [("hash", pa.int64()), ("doc_id", _arrow(kind)), ("tag", pa.int64()), ("line", pa.int32()), ("words", pa.int32()), ("times", pa.int32())]
 
     def hashed(batches):
-        for batch in batches:
-            ids, tags, texts = (batch.column(i).to_pylist() for i in range(3))
-            at = 0
-            while at < len(ids):
-                cols: list[list] = [[] for _ in types]
-                while at < len(ids) and len(cols[0]) < 200_000:
-                    found = lines_of(texts[at])
-                    cols[0] += found
-                    cols[1] += [ids[at]] * len(found)
-                    cols[2] += [tags[at]] * len(found)
-                    for c, x in zip(cols[3:], zip(*found.values(), strict=True), strict=False):
-                        c += x
-                    at += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, types, strict=True)], schema=pa.schema(types))
+        for batch in sliced(batches, 2):
+            cols: list[list] = [[] for _ in types]
+            for key, tag, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                found = lines_of(body)
+                cols[0] += found
+                cols[1] += [key] * len(found)
+                cols[2] += [tag] * len(found)
+                for c, x in zip(cols[3:], zip(*found.values(), strict=True), strict=False):
+                    c += x
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, types, strict=True)], schema=pa.schema(types))
 
     lines = materialize(slim.mapInArrow(hashed, f"hash long, doc_id {kind}, tag long, line int, words int, times int"), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag", "line", "times")

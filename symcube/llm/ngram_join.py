@@ -14,9 +14,10 @@ the prefix, but need no index entry.
 Which token is unique, rare or frequent: of all documents, every token whose hash lies in the lowest
 part of the hash range (nearly twice the prefix's share of a set) is counted exactly; the prefix rarely
 reaches further, as it takes the tokens with the lowest hashes first.  Tokens above that are treated
-like frequent ones.  The tokens of several documents go into a Bloom filter of at most ``bloom_bytes``,
-the at most ``max_frequent`` most frequent ones into a list; both are broadcast.  Whatever the filter
-and the list hold, the result is the same, only its cost differs.
+like frequent ones.  The counted tokens of several documents, and among them those of at least
+``frequent``, go into two Bloom filters of at most ``bloom_bytes`` each, which are broadcast.  A filter
+that is too small for the corpus takes rare tokens for frequent ones, which costs some more signatures;
+whatever the filters hold, the result is the same.
 
 Sets that share a signature are candidates.  Each signature points to its first holder, and the
 connected components of that star graph are the candidate clusters: no bucket is ever expanded to its
@@ -48,8 +49,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from symcube.llm import bloom
-from symcube.llm.common import materialize
-from symcube.llm.decontaminate import _chunks, mix, shingles, word_hashes
+from symcube.llm.common import materialize, sliced
+from symcube.llm.decontaminate import mix, shingles, word_hashes
 from symcube.llm.graph import connected_components
 from symcube.llm.packing import _arrow
 
@@ -70,15 +71,13 @@ def counted_range(link: tuple[int, int]) -> np.uint64:
 def token_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     out: list[np.ndarray] = []
-    for _, chunk in _chunks(texts):
-        split = [(t or "").encode().lower().split() for t in chunk]
-        values, n = shingles(*word_hashes(split), words)
-        ends = np.cumsum(n)
-        for w, e, k in zip(split, ends, n, strict=True):
-            if k:
-                out.append(np.unique(values[e - k : e]))
-            else:
-                out.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(w), 1)] if w else [], np.uint64))
+    split = [(t or "").encode().lower().split() for t in texts]
+    values, n = shingles(*word_hashes(split), words)
+    for w, e, k in zip(split, np.cumsum(n), n, strict=True):
+        if k:
+            out.append(np.unique(values[e - k : e]))
+        else:
+            out.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(w), 1)] if w else [], np.uint64))
     return out
 
 
@@ -94,8 +93,8 @@ def _levels(n: int, link: tuple[int, int]) -> range:
 class Tokens:
     """What the corpus says about tokens; the same for every set, whatever it says.
 
-    ``shared`` is a Bloom filter of the counted tokens that occur in several documents, so a counted
-    token that it doesn't hold is unique; ``frequent`` are the sorted frequent tokens.
+    Two Bloom filters: the counted tokens of several documents (a counted token that it doesn't hold is
+    unique), and among them the frequent ones.
     """
 
     def __init__(self, shared: np.ndarray, frequent: np.ndarray):
@@ -105,10 +104,7 @@ class Tokens:
         return bloom.may_hold(self.shared, mix(tokens))
 
     def is_frequent(self, tokens: np.ndarray) -> np.ndarray:
-        if not len(self.frequent):
-            return np.zeros(len(tokens), bool)
-        at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
-        return self.frequent[at] == tokens
+        return bloom.may_hold(self.frequent, mix(tokens))
 
 
 def signatures(tokens: np.ndarray, known: Tokens, link: tuple[int, int] = LINK) -> np.ndarray:
@@ -200,33 +196,23 @@ def forest(sets: list[np.ndarray], side: np.ndarray | None = None, link: tuple[i
     return label
 
 
-def corpus_tokens(docs: DataFrame, text: str, words: int, link: tuple[int, int], frequent: int, max_frequent: int, bloom_bytes: int) -> Tokens:
-    """Exact document counts of the counted tokens, reduced to a bounded filter and a bounded list."""
+def corpus_tokens(docs: DataFrame, text: str, words: int, link: tuple[int, int], frequent: int, bloom_bytes: int) -> Tokens:
+    """Exact document counts of the counted tokens, reduced to two bounded filters."""
     front = counted_range(link)
 
     def task(batches):
-        for batch in batches:
+        for batch in sliced(batches, 0):
             sets = [s[: np.searchsorted(s, front)] for s in token_sets(batch.column(0).to_pylist(), words)]
-            for at in range(0, len(sets), 2000):
-                yield pa.RecordBatch.from_pydict({"token": np.concatenate(sets[at : at + 2000]).view(np.int64)})
+            yield pa.RecordBatch.from_pydict({"token": np.concatenate(sets).view(np.int64)})
 
     each = docs.select(F.col(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(task, "token long")
     counts = materialize(each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    kept, above = frequent, 0
-    powers = counts.where(F.col("n") >= frequent).groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("k"))
-    for row in powers.orderBy(F.desc("power")).collect():  # at most 64 rows: tokens per power of two
-        above += row.k
-        if above > max_frequent:
-            kept = 1 << (row.power + 1)
-            break
-    found = counts.where(F.col("n") >= kept).select("token").toArrow()["token"].to_numpy()
-
     def mixed(batches):
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"h": mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)})
 
-    shared = bloom.build(counts.select("token").mapInArrow(mixed, "h long"), bloom_bytes)
-    return Tokens(shared, np.sort(found.astype(np.int64).view(np.uint64)))
+    filled = lambda df: bloom.build(df.select("token").mapInArrow(mixed, "h long"), bloom_bytes)
+    return Tokens(filled(counts), filled(counts.where(F.col("n") >= frequent)))
 
 
 def candidate_edges(index: DataFrame, heavy: int = 1024, tracked: int = 8192) -> DataFrame:
@@ -249,22 +235,18 @@ def candidate_edges(index: DataFrame, heavy: int = 1024, tracked: int = 8192) ->
 def _signature_task(words: int, link: tuple[int, int], sent):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
-            sids, sigs, size = [], [], 0
+        for batch in sliced(batches, 0):
+            sids, sigs = [], []
             for s in token_sets(batch.column(0).to_pylist(), words):
                 sid = set_id(s)
                 if not len(s) or sid in seen:
                     continue  # copies of a set are dropped before the shuffle
-                if len(seen) > 1_000_000:
+                if len(seen) > 300_000:
                     seen.clear()
                 seen.add(sid)
                 own = signatures(s, sent.value, link)
                 sigs.append(own.view(np.int64))
                 sids.append(np.full(len(own), sid, np.int64))
-                size += len(own)
-                if size > 100_000:
-                    yield pa.RecordBatch.from_pydict({"sig": np.concatenate(sigs), "sid": np.concatenate(sids)})
-                    sids, sigs, size = [], [], 0
             if sigs:
                 yield pa.RecordBatch.from_pydict({"sig": np.concatenate(sigs), "sid": np.concatenate(sids)})
 
@@ -304,10 +286,9 @@ def _classes(
     text: str = "text",
     words: int = WORDS,
     link: tuple[int, int] = LINK,
-    frequent: int = 8,
-    max_frequent: int = 1 << 20,
-    bloom_bytes: int = 64 << 20,
-    block_tokens: int = 2_000_000,
+    frequent: int = 3,
+    bloom_bytes: int = 32 << 20,
+    block_tokens: int = 1_000_000,
     broadcast_ids: int = 1_000_000,
 ) -> DataFrame:
     """One row per input row: doc_id, tag (hash of the text), n_shingles, component_id, stays."""
@@ -316,7 +297,7 @@ def _classes(
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def measure(batches):
-        for batch in batches:
+        for batch in sliced(batches, 1):
             sets = token_sets(batch.column(1).to_pylist(), words)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -329,7 +310,7 @@ def _classes(
             )
 
     base = materialize(slim.mapInArrow(measure, f"doc_id {kind}, tag long, n_shingles long, sid long"), "sets")
-    sent = spark.sparkContext.broadcast(corpus_tokens(docs, text, words, link, frequent, max_frequent, bloom_bytes))
+    sent = spark.sparkContext.broadcast(corpus_tokens(docs, text, words, link, frequent, bloom_bytes))
     index = slim.select("text").where("text IS NOT NULL").mapInArrow(_signature_task(words, link, sent), "sig long, sid long")
     clusters = connected_components(candidate_edges(materialize(index, "index")))
 
@@ -358,7 +339,7 @@ def _classes(
     texts = slim.join(wanted, slim["doc_id"].eqNullSafe(members["rep"])).select("text", "want", "root", "block", "meets")
 
     def tokens(batches):
-        for batch in batches:
+        for batch in sliced(batches, 0):
             sets = token_sets(batch.column(0).to_pylist(), words)
             # a repeated id may bring another text along; the set's own text has its id
             keep = [i for i, (s, w) in enumerate(zip(sets, batch.column(1).to_pylist(), strict=True)) if len(s) and set_id(s) == w]

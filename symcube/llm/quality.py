@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import held_out
+from symcube.llm.common import held_out, sliced
 from symcube.llm.features import document_sums, repeats, sampled_features
 from symcube.llm.packing import _arrow
 
@@ -96,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, train_words:
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(picked), "id").select("id", "text", "y")
 
     def task(batches):
-        for batch in batches:
+        for batch in sliced(batches, 1):
             rows = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
             found = [sampled_features(t, zlib.crc32(str(i).encode()), train_words, LOW, HIGH, BITS, True, _extra) for i, t, _ in rows]
             yield pa.RecordBatch.from_pydict(
@@ -120,7 +120,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def task(batches):
-        for batch in batches:
+        for batch in sliced(batches, 2):
             found = sent.value.score(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(_arrow(kind)), batch.column(1), pa.array(found, pa.float64()), pa.array((found >= threshold).astype(np.int32), pa.int32())],
@@ -136,7 +136,7 @@ def keep_good(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     at = docs.columns.index(text)
 
     def task(batches):
-        for batch in batches:
+        for batch in sliced(batches, at):
             yield batch.filter(pa.array(sent.value.score(batch.column(at).to_pylist()) >= threshold))
 
     return docs.mapInArrow(task, docs.schema)

@@ -88,8 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_ngram_join": r"""
         WITH RECURSIVE w AS (
-            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                   '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w FROM documents),
         s AS (
             SELECT DISTINCT doc_id, array_to_string(list_slice(w, g, g + 2), ' ') AS g
             FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS g FROM w WHERE len(w) > 0)),
@@ -137,13 +137,11 @@ ORACLES: dict[str, str] = {
                listed FROM j""",
     "op7_decontaminate": r"""
         WITH words AS (
-            SELECT 0 AS kind, doc_id AS id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]', ' ', 'g'),
-                   '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+            SELECT 0 AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+') AS w FROM documents
             UNION ALL
-            SELECT 1, item_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]', ' ', 'g'),
-                   '[\x20\x09-\x0D]+'), x -> x <> '') FROM benchmark),
+            SELECT 1, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+') FROM benchmark),
         items AS (SELECT id, least(5, len(w)) AS k, w FROM words WHERE kind = 1 AND len(w) > 0),
         ishing AS (SELECT DISTINCT id, k, array_to_string(list_slice(w, g, g + k - 1), ' ') AS s
                    FROM (SELECT *, unnest(generate_series(1, len(w) - k + 1)) AS g FROM items)),

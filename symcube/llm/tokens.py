@@ -9,7 +9,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+
+from symcube.llm.common import CACHES, sliced
 
 #: Byte-level BPE writes printable Latin-1 bytes as themselves and the n-th other byte as chr(256 + n).
 _OTHER = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
@@ -96,6 +97,10 @@ class Encoder(dict):
                 return self.line.join([self[word[0] + parts[0] if first else parts[0]], *(self["\0" + x] for x in parts[1:])])
         return self._plain([bare if first else " " + bare])[0]
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.bytewise:
             return self._plain(texts)
@@ -121,6 +126,7 @@ def encoder(path: str, cache_words: int = 300_000) -> Encoder:
     key = (path, cache_words)
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(path, cache_words)
+        CACHES.append(_ENCODERS[key].forget)
     return _ENCODERS[key]
 
 
@@ -128,14 +134,8 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, chunk_byt
     """(ids column, id bytes with the end id) of batches of (doc_id, text), a bounded number of bytes or one text at a time."""
     enc = encoder(path)
     end = np.array([end_id], enc.dtype).tobytes()
-    for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        at = 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chunk_bytes, "right")))
-            part = batch.slice(at, to - at)
-            yield part.column(0).to_pylist(), [x + end for x in enc.encode([t or "" for t in part.column(1).to_pylist()])]
-            at = to
+    for part in sliced(batches, 1, chunk_bytes, keep_caches=True):
+        yield part.column(0).to_pylist(), [x + end for x in enc.encode([t or "" for t in part.column(1).to_pylist()])]
 
 
 def in_order(docs, doc_id: str, text: str):
