@@ -49,10 +49,10 @@ RULES = [
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tables hold no list of URLs: the urls of pages with an id divisible by 20 stand in for one."""
+    """The tables hold no list of URLs: every url with a tracking parameter stands in for a listed one."""
     pages = read(spark, sf_dir, "pages")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
-    return url_filter.filter_urls(pages, rules, pages.where("page_id % 20 = 0").select("url"))
+    return url_filter.filter_urls(pages, rules, pages.where("url LIKE '%utm_source=%'").select("url"))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,9 +116,9 @@ ORACLES: dict[str, str] = {
         FROM t WINDOW w AS (PARTITION BY h ORDER BY length(body) DESC, doc_id)""",
     "op6_url_filter": r"""
         WITH r AS (
-            SELECT page_id, CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '^.*?://(.*)$', 1, 's') ELSE '' END AS rest FROM pages),
+            SELECT page_id, url, CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '^.*?://(.*)$', 1, 's') ELSE '' END AS rest FROM pages),
         p AS (
-            SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
         c AS (SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') AS own FROM p),
         j AS (
@@ -128,7 +128,7 @@ ORACLES: dict[str, str] = {
                         WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
                         WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
                         WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule,
-                   own <> '' AND own IN (SELECT own FROM c WHERE page_id % 20 = 0) AS listed
+                   own <> '' AND own IN (SELECT own FROM c WHERE url LIKE '%utm_source=%') AS listed
             FROM c)
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block'
