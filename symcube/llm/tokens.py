@@ -38,7 +38,7 @@ class Encoder(dict):
     word that begins a text or line -> ids.  It has two generations of at most ``cache_words`` words.
     """
 
-    def __init__(self, path: str, cache_words: int = 300_000):
+    def __init__(self, path: str, cache_words: int = 420_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, models, pre_tokenizers
@@ -63,7 +63,7 @@ class Encoder(dict):
     def __missing__(self, word: str) -> bytes:
         out = self.older.get(word)
         if out is None:
-            out = self._new(word)
+            return self._new(word)
         self[word] = out
         return out
 
@@ -72,18 +72,25 @@ class Encoder(dict):
         bare = word[1:] if first else word
         if bare.isalpha():
             if bare.isascii():
-                return array(self.code, [t.id for t in self.model.tokenize(bare if first else _SPACE + bare)]).tobytes()
-            if max(bare) < _SURE:
+                out = array(self.code, [t.id for t in self.model.tokenize(bare if first else _SPACE + bare)]).tobytes()
+            elif max(bare) < _SURE:
                 mapped = bare.encode().decode("latin-1").translate(_BYTE_ALPHABET)
-                return array(self.code, [t.id for t in self.model.tokenize(mapped if first else _SPACE + mapped)]).tobytes()
-            return self._plain([bare if first else " " + bare])[0]
+                out = array(self.code, [t.id for t in self.model.tokenize(mapped if first else _SPACE + mapped)]).tobytes()
+            else:
+                out = self._plain([bare if first else " " + bare])[0]
+            self[word] = out
+            return out
         if (m := _MARKED.fullmatch(word)) and m[1].lstrip("\0").isalpha():
             mark = self.marks.get(m[2])
             if mark is None:
                 mark = self._plain([m[2]])[0]
                 if len(self.marks) < 50_000:
                     self.marks[m[2]] = mark
-            return self[m[1]] + mark
+            stem = self.get(m[1])
+            if stem is None:  # a word seen for the first time hardly comes with the same mark again
+                return self[m[1]] + mark
+            out = self[word] = stem + mark
+            return out
         if not bare:
             if first:
                 return b""
@@ -95,7 +102,8 @@ class Encoder(dict):
             n = bare.count("\n")
             if len(parts) == n + 1 and sum(map(len, parts)) + n == len(bare):
                 return self.line.join([self[word[0] + parts[0] if first else parts[0]], *(self["\0" + x] for x in parts[1:])])
-        return self._plain([bare if first else " " + bare])[0]
+        out = self[word] = self._plain([bare if first else " " + bare])[0]
+        return out
 
     def forget(self) -> None:
         self.clear()
@@ -121,7 +129,7 @@ class Encoder(dict):
         return out
 
 
-def encoder(path: str, cache_words: int = 300_000) -> Encoder:
+def encoder(path: str, cache_words: int = 420_000) -> Encoder:
     """The worker's encoder of this vocabulary; Python workers are reused, and so is its cache."""
     key = (path, cache_words)
     if key not in _ENCODERS:
