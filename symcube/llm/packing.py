@@ -1,7 +1,7 @@
 """Concatenate-and-cut packing of token ids into sequences of fixed length.
 
-Pass 1 range-sorts the documents by id, encodes them once and writes (document, partition, offset
-within the partition, ids).  The partitions' token totals, one small row each, give every partition's
+Pass 1 encodes the documents once, where they are stored (or range-sorted by id, at the cost of a shuffle
+of the texts), and writes (document, partition, offset within the partition, ids).  The partitions' token totals, one small row each, give every partition's
 global offset by a prefix sum.  Pass 2 then cuts each document, by itself, at the multiples of the
 sequence length: no state crosses partitions, so a lost executor only repeats its own tasks.
 The boundary records are the pieces with ``continued`` (the document began in an earlier sequence) or
@@ -10,8 +10,8 @@ The boundary records are the pieces with ``continued`` (the document began in an
 Defined results
 ---------------
 * null and empty texts give a piece that holds the end id alone;
-* documents follow each other by id, null ids first, equal ids by a hash of their text; every input
-  row is packed, repeated rows too;
+* documents follow each other as the input's partitions and rows do; with ``by_id`` by id, null ids
+  first, equal ids by a hash of their text; every input row is packed, repeated rows too;
 * an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from symcube.llm.common import materialize
+from symcube.llm.common import materialize, text_or_empty
 from symcube.llm.tokens import encoded, encoder, in_order
 
 
-def encode_in_order(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_once(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", by_id: bool = False) -> DataFrame:
     """Pass 1, written: doc_id, part, local (tokens of the partition before it), n_tokens, ids (narrow little-endian)."""
-    rows = in_order(docs, doc_id, text)
+    plain = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
+    rows = in_order(docs, doc_id, text) if by_id else plain
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def task(batches):
@@ -64,13 +65,13 @@ def with_start(ids: DataFrame) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = True
+    docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = True, by_id: bool = False
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, continued, continues[, ids].
 
     ``ids`` are the piece's token ids as little-endian unsigned 32-bit integers.
     """
-    stored = with_start(encode_in_order(docs, tokenizer, end_id, doc_id, text)).select("doc_id", "begin", "n_tokens", "ids")
+    stored = with_start(encode_once(docs, tokenizer, end_id, doc_id, text, by_id)).select("doc_id", "begin", "n_tokens", "ids")
     kind = stored.schema["doc_id"].dataType.simpleString()
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     flags = ["continued", "continues"]

@@ -80,9 +80,13 @@ def test_shard_file(tmp_path):
         sstable.Reader(path)
 
 
-def test_packing(spark, plain):
+@pytest.mark.parametrize("by_id", [False, True])
+def test_packing(spark, plain, by_id):
     data = rows()
-    got = packing.pack(frame(spark, data).repartition(3), PATH, 64, 1).collect()
+    got = packing.pack(frame(spark, data).repartition(3), PATH, 64, 1, by_id=by_id).collect()
+    if by_id:
+        order = [r.doc_id for r in sorted(got, key=lambda r: (r.sequence_id, r.offset))]
+        assert order[0] is None and [i for i in order if i is not None] == sorted(i for i in order if i is not None)
     whole = {}
     for r in got:
         assert 0 < r.length <= 64 and r.offset + r.length <= 64
