@@ -1,20 +1,20 @@
-"""Line dedup by pairwise alignment.
-
-Every distinct line of a document is hashed.  A line hash that occurs in several documents points to
-its first holder, the document that comes first; each later document is paired with the first holders
-of its lines.  That finds the overlapping documents with one link per document and line: rare lines
-link the few documents that share a passage, and a line that millions of documents share costs one
-link each, never a pair of any two of them, so no line needs to be capped or dropped.  A pair is
-aligned by patience diff: lines that are unique in both documents anchor the longest increasing
-subsequence, and shared lines next to an anchor extend it.  Runs of lines that are consecutive in both
-documents are common blocks; a block is deleted from the later document if it holds a *rare* line
-(found in at most ``rare_df`` documents) and ``min_words`` words, or ``passage_words`` words whatever
-its lines' frequency, so that short boilerplate lines alone change no document.
+"""Line dedup by common blocks of lines.
+
+A common block is a run of lines that are consecutive in a document and in an earlier one: all that an
+alignment of the two, such as ``blocks``, can pair without a break.  A block is deleted from the later
+document if it holds a *rare* line (found in at most ``rare_df`` documents) and ``min_words`` words, or
+``passage_words`` words whatever its lines' frequency, so that short boilerplate lines alone change no
+document.  Blocks with all earlier documents count, and no pair of documents is formed: each document
+is covered by windows, runs of lines whose limits follow from the lines' own words.  These are all runs
+of ``min_words`` up to ``passage_words`` words, and the shortest runs of ``passage_words`` words that
+start or end at a line.  Each line of a block lies in a window inside the block, and a window is in an
+earlier document just if its first holder is one.  So every window has one link, to its first holder;
+a window that millions of documents share costs one link each, and none needs to be capped or dropped.
 
 Defined results
 ---------------
 * lines end at ``\\n`` and are compared without leading and trailing white space; lines without a word
-  match nothing; a line that a document repeats is no anchor, and only its first place can be deleted;
+  match nothing; of a run that a document repeats only the first place can be deleted;
 * documents come in the order of their ids (null ids last), equal ids in the order of a hash of their
   text; rows with equal id and text are one document and get the same result each;
 * null texts have no lines and stay null; a document without common blocks keeps its text as it is;
@@ -24,7 +24,6 @@ Defined results
 from __future__ import annotations
 
 import bisect
-from collections import defaultdict
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -38,15 +37,25 @@ from symcube.llm.packing import _arrow
 RARE_DF, MIN_WORDS, PASSAGE_WORDS = 64, 10, 20
 
 
-def lines_of(text: str | None) -> dict[int, tuple[int, int, int]]:
-    """Hash of each distinct line with a word -> (its first number, its words, its count)."""
+def windows(text: str | None, min_words: int, passage_words: int) -> dict[int, tuple[int, int, int]]:
+    """Hash of each window, and of each line of a window below ``passage_words`` -> (words, first line, last line)."""
+    rows = [(i, n, xxhash.xxh3_64_digest(x.strip().encode())) for i, x in enumerate((text or "").split("\n")) if (n := len(x.split()))]
+    found: dict[tuple[int, int], int] = {}
+    for step in (1, -1):
+        for start in range(len(rows)):
+            words, at = 0, start
+            while 0 <= at < len(rows) and rows[at][0] - rows[start][0] == at - start and words < passage_words:
+                words += rows[at][1]
+                if words >= passage_words or step > 0 and words >= min_words:
+                    found[min(start, at), max(start, at)] = words
+                at += step
+    for a, b in [k for k, words in found.items() if words < passage_words]:
+        for x in range(a, b + 1):
+            found[x, x] = rows[x][1]
     out: dict[int, tuple[int, int, int]] = {}
-    for i, line in enumerate((text or "").split("\n")):
-        words = len(line.split())
-        if words:
-            h = xxhash.xxh3_64_intdigest(line.strip().encode()) - (1 << 63)
-            first = out.get(h)
-            out[h] = (first[0], words, first[2] + 1) if first else (i, words, 1)
+    for (a, b), words in sorted(found.items()):
+        digest = rows[a][2] if a == b else xxhash.xxh3_64_digest(b"".join(r[2] for r in rows[a : b + 1]))
+        out.setdefault(int.from_bytes(digest, "big") - (1 << 63), (words, rows[a][0], rows[b][0]))
     return out
 
 
@@ -112,13 +121,13 @@ def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     """Blocks to delete: doc_id, tag (hash of id and text), cut: array of (first, last) line numbers, from_ids."""
     slim = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("tag"), F.col(text).cast("string").alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
-    types = [("hash", pa.int64()), ("doc_id", _arrow(kind)), ("tag", pa.int64()), ("line", pa.int32()), ("words", pa.int32()), ("times", pa.int32())]
+    types = [("hash", pa.int64()), ("doc_id", _arrow(kind)), ("tag", pa.int64()), ("words", pa.int32()), ("first", pa.int32()), ("last", pa.int32())]
 
     def hashed(batches):
         for batch in sliced(batches, 2):
             cols: list[list] = [[] for _ in types]
             for key, tag, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                found = lines_of(body)
+                found = windows(body, min_words, passage_words)
                 cols[0] += found
                 cols[1] += [key] * len(found)
                 cols[2] += [tag] * len(found)
@@ -126,46 +135,39 @@ def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
                     c += x
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, types, strict=True)], schema=pa.schema(types))
 
-    lines = materialize(slim.mapInArrow(hashed, f"hash long, doc_id {kind}, tag long, line int, words int, times int"), "lines")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag", "line", "times")
-    # partial aggregation reduces a line of any frequency before the exchange; equal documents count once
-    holders = lines.groupBy("hash").agg(F.min(order).alias("first"), F.count("*").alias("df"), F.max("tag").alias("top"), F.min("tag").alias("low"))
-    holders = holders.where("top <> low").select("hash", "first", "df")
-    shared = lines.join(holders, "hash").where(~(F.col("tag").eqNullSafe(F.col("first.tag")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))))
-    entry = F.struct(
-        F.col("line"),
-        F.col("first.tag").alias("tag"),
-        F.col("first.doc_id").alias("id"),
-        F.col("first.line").alias("there"),
-        F.col("words"),
-        ((F.col("times") == 1) & (F.col("first.times") == 1)).alias("anchor"),
-        (F.col("df") <= rare_df).alias("rare"),
-    )
-    # a document's own lines: bounded by the document; collect_set, as equal rows repeat them
-    per_doc = shared.groupBy("doc_id", "tag").agg(F.sum("words").alias("words"), F.collect_set(entry).alias("rows")).where(F.col("words") >= min(min_words, passage_words))
-    per_doc = per_doc.select("doc_id", "tag", F.sort_array("rows").alias("rows"))
-
-    def align(batches):
+    runs = materialize(slim.mapInArrow(hashed, f"hash long, doc_id {kind}, tag long, words int, first int, last int"), "windows")
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "tag")
+    # partial aggregation reduces a window of any frequency before the exchange; equal documents count once
+    holders = runs.groupBy("hash").agg(F.min(order).alias("holder"), F.count("*").alias("df"), F.max("tag").alias("top"), F.min("tag").alias("low"))
+    holders = holders.where("top <> low").select("hash", "holder", "df")
+    # a frequent run holds frequent lines only, and so needs the words of a passage
+    shared = runs.join(holders, "hash").where((F.col("words") >= passage_words) | (F.col("df") <= rare_df))
+    shared = shared.where(~(F.col("tag").eqNullSafe(F.col("holder.tag")) & F.col("doc_id").eqNullSafe(F.col("holder.doc_id"))))
+    entry = F.struct("first", "last", "words", F.col("holder.doc_id").alias("id"))
+    # a document's own windows: bounded by the document; collect_set, as equal rows repeat them
+    per_doc = shared.groupBy("doc_id", "tag").agg(F.max("words").alias("words"), F.collect_set(entry).alias("rows")).where(F.col("words") >= min(min_words, passage_words))
+    per_doc = per_doc.select("doc_id", "tag", "rows")
+
+    def cuts(batches):
         for batch in batches:
             ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[tuple] = []
             for key, tag, rows in zip(ids, tags, batch.column(2).to_pylist(), strict=True):
-                pairs: dict[tuple, list] = defaultdict(list)
-                for r in rows:
-                    pairs[r["tag"], r["id"]].append((r["line"], r["there"], r["words"], r["anchor"], r["rare"]))
+                rare = sorted(r["first"] for r in rows if r["first"] == r["last"] and r["words"] < passage_words)
                 cut: list[tuple[int, int]] = []
-                origin = []
-                for (_, source), common in pairs.items():
-                    found = blocks(common, min_words, passage_words)
-                    cut += [(a, b) for a, b, _ in found]
-                    origin += [source] if found else []
+                origin = set()
+                for r in rows:
+                    first, last = r["first"], r["last"]
+                    if r["words"] >= passage_words or r["words"] >= min_words and bisect.bisect_left(rare, first) < bisect.bisect_right(rare, last):
+                        cut.append((first, last))
+                        origin.add(r["id"])
                 if cut:
-                    out.append((key, tag, [{"first": a, "last": b} for a, b in _merged(cut)], sorted(set(origin), key=lambda x: (x is None, x))))
+                    out.append((key, tag, [{"first": a, "last": b} for a, b in _merged(cut)], sorted(origin, key=lambda x: (x is None, x))))
             if out:
                 fields = [("doc_id", _arrow(kind)), ("tag", pa.int64()), ("cut", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("from_ids", pa.list_(_arrow(kind)))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), fields, strict=True)], schema=pa.schema(fields))
 
-    return per_doc.mapInArrow(align, f"doc_id {kind}, tag long, cut array<struct<first:int,last:int>>, from_ids array<{kind}>")
+    return per_doc.mapInArrow(cuts, f"doc_id {kind}, tag long, cut array<struct<first:int,last:int>>, from_ids array<{kind}>")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

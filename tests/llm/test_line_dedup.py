@@ -110,3 +110,101 @@ def test_long_passages_go_and_boilerplate_stays(spark):
 
 def test_empty_table(spark):
     assert dedup_lines(frame(spark, [])).collect() == []
+
+
+def naive_blocks(a, b):
+    """Blocks (first, last) in ``a`` of every run of lines that is consecutive in both lists."""
+    for i in range(len(a)):
+        for j in range(len(b)):
+            if a[i] and a[i] == b[j] and not (i and j and a[i - 1] and a[i - 1] == b[j - 1]):
+                n = 1
+                while i + n < len(a) and j + n < len(b) and a[i + n] and a[i + n] == b[j + n]:
+                    n += 1
+                yield i, i + n - 1
+
+
+def patience(a, b, i=0, j=0):
+    """Pairs of equal lines of two lists: lines unique in both as anchors, then between the anchors; else from the ends."""
+    once = [x for x in a if x and a.count(x) == 1 and b.count(x) == 1]
+    if not once:
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        m = 0
+        while m < min(len(a), len(b)) - n and a[-1 - m] == b[-1 - m]:
+            m += 1
+        return [(i + k, j + k) for k in range(n)] + [(i + len(a) - k, j + len(b) - k) for k in range(m, 0, -1)]
+    at = [b.index(x) for x in once]
+    longest = {}
+    for n, y in enumerate(at):
+        longest[n] = max((longest[m] for m in range(n) if at[m] < y), key=len, default=[]) + [n]
+    out, p, q = [], 0, 0
+    for n in [*max(longest.values(), key=len), None]:
+        x, y = (a.index(once[n]), at[n]) if n is not None else (len(a), len(b))
+        out += patience(a[p:x], b[q:y], i + p, j + q)
+        if n is not None:
+            out.append((i + x, j + y))
+        p, q = x + 1, y + 1
+    return out
+
+
+def patience_blocks(a, b):
+    run = []
+    for pair in [*(p for p in patience(a, b) if a[p[0]]), None]:
+        if run and (pair is None or pair != (run[-1][0] + 1, run[-1][1] + 1)):
+            yield run[0][0], run[-1][0]
+            run = []
+        run.append(pair)
+
+
+def all_pairs(docs, blocks_of, rare_df=64, min_words=10, passage_words=20):
+    """Deleted lines of each of the documents (distinct, in order): every pair is compared."""
+    docs = [[x.strip() for x in t.split("\n")] for t in docs]
+    rare = {x for t in docs for x in t if sum(x in u for u in docs) <= rare_df}
+    out = []
+    for n, t in enumerate(docs):
+        drop = set()
+        for earlier in docs[:n]:
+            for a, b in blocks_of(t, earlier):
+                words = sum(len(x.split()) for x in t[a : b + 1])
+                if words >= passage_words or words >= min_words and rare & set(t[a : b + 1]):
+                    drop |= set(range(a, b + 1))
+        out.append(drop)
+    return out
+
+
+def deleted(spark, docs, **how):
+    got = {r.doc_id: r for r in dedup_lines(frame(spark, enumerate(docs)).repartition(3), **how).collect()}
+    for n, t in enumerate(docs):
+        gone = {i for c in got[n].cut or [] for i in range(c.first, c.last + 1)}
+        assert got[n].text == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone) and got[n].n_deleted == len(gone)
+    return [{i for c in got[n].cut or [] for i in range(c.first, c.last + 1)} for n in range(len(docs))]
+
+
+def mosaic(seed, n=50, vocabulary=40, repeats=False):
+    """Documents cut from a few lines, so that most lines have many holders and blocks overlap."""
+    rng = random.Random(seed)
+    pool = [line(i, rng.choice([1, 3, 6, 9, 12, 25])) for i in range(vocabulary)]
+    docs = []
+    for i in range(n):
+        out = [line(1000 + i)]
+        for _ in range(rng.randrange(1, 5)):
+            a = rng.randrange(vocabulary)
+            out += pool[a : a + rng.randrange(1, 7)] + ([line(2000 + i)] if rng.random() < 0.3 else [])
+        docs.append("\n".join(out if repeats else dict.fromkeys(out)))
+    return docs
+
+
+def test_block_of_two_documents_is_found_where_its_lines_stand_in_others(spark):
+    lines = [line(i, 9) for i in range(6)]
+    docs = [lines[0], lines[2], lines[4], "\n".join(lines), "\n".join(lines)]
+    assert deleted(spark, docs) == [set(), set(), set(), set(), set(range(6))]
+
+
+def test_all_pairs(spark):
+    for seed in range(2):
+        docs = mosaic(seed)
+        for how in ({}, {"rare_df": 4, "min_words": 8, "passage_words": 30}):
+            got = deleted(spark, docs, **how)
+            assert got == all_pairs(docs, naive_blocks, **how)
+            assert all(p <= g for p, g in zip(all_pairs(docs, patience_blocks, **how), got, strict=True)) and any(got)
