@@ -14,7 +14,7 @@ a window that millions of documents share costs one link each, and none needs to
 Defined results
 ---------------
 * lines end at ``\\n`` and are compared without leading and trailing white space; lines without a word
-  match nothing; of a run that a document repeats only the first place can be deleted;
+  match nothing; a run that a document repeats is deleted at every place if an earlier document has it;
 * documents come in the order of their ids (null ids last), equal ids in the order of a hash of their
   text; rows with equal id and text are one document and get the same result each;
 * null texts have no lines and stay null; a document without common blocks keeps its text as it is;
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterable
+from itertools import batched, chain
 
 import pyarrow as pa
 import xxhash
@@ -37,8 +38,8 @@ from symcube.llm.packing import _arrow
 RARE_DF, MIN_WORDS, PASSAGE_WORDS = 64, 10, 20
 
 
-def windows(text: str | None, min_words: int, passage_words: int) -> dict[int, tuple[int, int, int]]:
-    """Hash of each window, and of each line of a window below ``passage_words`` -> (words, first line, last line)."""
+def windows(text: str | None, min_words: int, passage_words: int) -> dict[int, tuple[int, list[tuple[int, int]]]]:
+    """Hash of each window, and of each line of a window below ``passage_words`` -> (words, its places: first line, last line)."""
     rows = [(i, n, xxhash.xxh3_64_digest(x.strip().encode())) for i, x in enumerate((text or "").split("\n")) if (n := len(x.split()))]
     found: dict[tuple[int, int], int] = {}
     for step in (1, -1):
@@ -52,10 +53,10 @@ def windows(text: str | None, min_words: int, passage_words: int) -> dict[int, t
     for a, b in [k for k, words in found.items() if words < passage_words]:
         for x in range(a, b + 1):
             found[x, x] = rows[x][1]
-    out: dict[int, tuple[int, int, int]] = {}
+    out: dict[int, tuple[int, list[tuple[int, int]]]] = {}
     for (a, b), words in sorted(found.items()):
         digest = rows[a][2] if a == b else xxhash.xxh3_64_digest(b"".join(r[2] for r in rows[a : b + 1]))
-        out.setdefault(int.from_bytes(digest, "big") - (1 << 63), (words, rows[a][0], rows[b][0]))
+        out.setdefault(int.from_bytes(digest, "big") - (1 << 63), (words, []))[1].append((rows[a][0], rows[b][0]))
     return out
 
 
@@ -121,7 +122,7 @@ def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     """Blocks to delete: doc_id, tag (hash of id and text), cut: array of (first, last) line numbers, from_ids."""
     slim = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("tag"), F.col(text).cast("string").alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
-    types = [("hash", pa.int64()), ("doc_id", _arrow(kind)), ("tag", pa.int64()), ("words", pa.int32()), ("first", pa.int32()), ("last", pa.int32())]
+    types = [("hash", pa.int64()), ("doc_id", _arrow(kind)), ("tag", pa.int64()), ("words", pa.int32()), ("places", pa.list_(pa.int32()))]
 
     def hashed(batches):
         for batch in sliced(batches, 2):
@@ -131,11 +132,11 @@ def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
                 cols[0] += found
                 cols[1] += [key] * len(found)
                 cols[2] += [tag] * len(found)
-                for c, x in zip(cols[3:], zip(*found.values(), strict=True), strict=False):
-                    c += x
+                cols[3] += [words for words, _ in found.values()]
+                cols[4] += [list(chain(*places)) for _, places in found.values()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, types, strict=True)], schema=pa.schema(types))
 
-    runs = materialize(slim.mapInArrow(hashed, f"hash long, doc_id {kind}, tag long, words int, first int, last int"), "windows")
+    runs = materialize(slim.mapInArrow(hashed, f"hash long, doc_id {kind}, tag long, words int, places array<int>"), "windows")
     order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "tag")
     # partial aggregation reduces a window of any frequency before the exchange; equal documents count once
     holders = runs.groupBy("hash").agg(F.min(order).alias("holder"), F.count("*").alias("df"), F.max("tag").alias("top"), F.min("tag").alias("low"))
@@ -143,7 +144,7 @@ def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     # a frequent run holds frequent lines only, and so needs the words of a passage
     shared = runs.join(holders, "hash").where((F.col("words") >= passage_words) | (F.col("df") <= rare_df))
     shared = shared.where(~(F.col("tag").eqNullSafe(F.col("holder.tag")) & F.col("doc_id").eqNullSafe(F.col("holder.doc_id"))))
-    entry = F.struct("first", "last", "words", F.col("holder.doc_id").alias("id"))
+    entry = F.struct("places", "words", F.col("holder.doc_id").alias("id"))
     # a document's own windows: bounded by the document; collect_set, as equal rows repeat them
     per_doc = shared.groupBy("doc_id", "tag").agg(F.max("words").alias("words"), F.collect_set(entry).alias("rows")).where(F.col("words") >= min(min_words, passage_words))
     per_doc = per_doc.select("doc_id", "tag", "rows")
@@ -153,14 +154,14 @@ def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
             ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[tuple] = []
             for key, tag, rows in zip(ids, tags, batch.column(2).to_pylist(), strict=True):
-                rare = sorted(r["first"] for r in rows if r["first"] == r["last"] and r["words"] < passage_words)
+                found = [(r["words"], r["id"], a, b) for r in rows for a, b in batched(r["places"], 2)]
+                rare = sorted(a for words, _, a, b in found if a == b and words < passage_words)
                 cut: list[tuple[int, int]] = []
                 origin = set()
-                for r in rows:
-                    first, last = r["first"], r["last"]
-                    if r["words"] >= passage_words or r["words"] >= min_words and bisect.bisect_left(rare, first) < bisect.bisect_right(rare, last):
-                        cut.append((first, last))
-                        origin.add(r["id"])
+                for words, source, a, b in found:
+                    if words >= passage_words or words >= min_words and bisect.bisect_left(rare, a) < bisect.bisect_right(rare, b):
+                        cut.append((a, b))
+                        origin.add(source)
                 if cut:
                     out.append((key, tag, [{"first": a, "last": b} for a, b in _merged(cut)], sorted(origin, key=lambda x: (x is None, x))))
             if out:

@@ -208,3 +208,17 @@ def test_all_pairs(spark):
             got = deleted(spark, docs, **how)
             assert got == all_pairs(docs, naive_blocks, **how)
             assert all(p <= g for p, g in zip(all_pairs(docs, patience_blocks, **how), got, strict=True)) and any(got)
+
+
+def test_every_place_of_a_repeated_passage_goes(spark):
+    passage = "\n".join(line(i, 9) for i in range(6))
+    docs = [passage, f"{passage}\n{passage}", f"{line(50)}\n{passage}\n{line(51)}\n{passage}", f"{line(60)}\n{line(70, 30)}\n{line(70, 30)}"]
+    assert deleted(spark, docs) == [set(), set(range(12)), {*range(1, 7), *range(8, 14)}, set()]
+    assert deleted(spark, [docs[2], docs[2] + "\n"])[1] == set(range(14))
+
+
+def test_all_pairs_with_repeated_lines(spark):
+    docs = mosaic(5, vocabulary=15, repeats=True)
+    got = deleted(spark, docs)
+    assert got == all_pairs(docs, naive_blocks)
+    assert all(p <= g for p, g in zip(all_pairs(docs, patience_blocks), got, strict=True))
