@@ -14,7 +14,7 @@ a window that millions of documents share costs one link each, and none needs to
 Defined results
 ---------------
 * lines end at ``\\n`` and are compared without leading and trailing white space; lines without a word
-  match nothing; a run that a document repeats is deleted at every place if an earlier document has it;
+  match nothing and break no run, and those between two deleted lines are deleted with them; a run that a document repeats is deleted at every place if an earlier document has it;
 * documents come in the order of their ids (null ids last), equal ids in the order of a hash of their
   text; rows with equal id and text are one document and get the same result each;
 * null texts have no lines and stay null; a document without common blocks keeps its text as it is;
@@ -38,14 +38,14 @@ from symcube.llm.packing import _arrow
 RARE_DF, MIN_WORDS, PASSAGE_WORDS = 64, 10, 20
 
 
-def windows(text: str | None, min_words: int, passage_words: int) -> dict[int, tuple[int, list[tuple[int, int]]]]:
-    """Hash of each window, and of each line of a window below ``passage_words`` -> (words, its places: first line, last line)."""
+def windows(text: str | None, min_words: int, passage_words: int) -> dict[int, tuple[int, list[tuple[int, int, int]]]]:
+    """Hash of each window, and of each line of a window below ``passage_words`` -> (words, its places: first line, last line, next line with a word)."""
     rows = [(i, n, xxhash.xxh3_64_digest(x.strip().encode())) for i, x in enumerate((text or "").split("\n")) if (n := len(x.split()))]
     found: dict[tuple[int, int], int] = {}
     for step in (1, -1):
         for start in range(len(rows)):
             words, at = 0, start
-            while 0 <= at < len(rows) and rows[at][0] - rows[start][0] == at - start and words < passage_words:
+            while 0 <= at < len(rows) and words < passage_words:
                 words += rows[at][1]
                 if words >= passage_words or step > 0 and words >= min_words:
                     found[min(start, at), max(start, at)] = words
@@ -53,10 +53,10 @@ def windows(text: str | None, min_words: int, passage_words: int) -> dict[int, t
     for a, b in [k for k, words in found.items() if words < passage_words]:
         for x in range(a, b + 1):
             found[x, x] = rows[x][1]
-    out: dict[int, tuple[int, list[tuple[int, int]]]] = {}
+    out: dict[int, tuple[int, list[tuple[int, int, int]]]] = {}
     for (a, b), words in sorted(found.items()):
         digest = rows[a][2] if a == b else xxhash.xxh3_64_digest(b"".join(r[2] for r in rows[a : b + 1]))
-        out.setdefault(int.from_bytes(digest, "big") - (1 << 63), (words, []))[1].append((rows[a][0], rows[b][0]))
+        out.setdefault(int.from_bytes(digest, "big") - (1 << 63), (words, []))[1].append((rows[a][0], rows[b][0], rows[b + 1][0] if b + 1 < len(rows) else rows[b][0] + 1))
     return out
 
 
@@ -107,15 +107,15 @@ def blocks(shared: Iterable[tuple[int, int, int, bool, bool]], min_words: int, p
     return out
 
 
-def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping or touching line ranges as one."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if out and a <= out[-1][1] + 1:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
+def _merged(found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Line ranges (first, last, next line with a word) that overlap or touch as one (first, last)."""
+    out: list[tuple[int, int, int]] = []
+    for a, b, after in sorted(found):
+        if out and a <= out[-1][2]:
+            out[-1] = (out[-1][0], *max(out[-1][1:], (b, after)))
         else:
-            out.append((a, b))
-    return out
+            out.append((a, b, after))
+    return [(a, b) for a, b, _ in out]
 
 
 def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare_df: int = RARE_DF, min_words: int = MIN_WORDS, passage_words: int = PASSAGE_WORDS) -> DataFrame:
@@ -154,13 +154,13 @@ def common_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
             ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[tuple] = []
             for key, tag, rows in zip(ids, tags, batch.column(2).to_pylist(), strict=True):
-                found = [(r["words"], r["id"], a, b) for r in rows for a, b in batched(r["places"], 2)]
-                rare = sorted(a for words, _, a, b in found if a == b and words < passage_words)
-                cut: list[tuple[int, int]] = []
+                found = [(r["words"], r["id"], *place) for r in rows for place in batched(r["places"], 3)]
+                rare = sorted(a for words, _, a, b, _ in found if a == b and words < passage_words)
+                cut: list[tuple[int, int, int]] = []
                 origin = set()
-                for words, source, a, b in found:
+                for words, source, a, b, after in found:
                     if words >= passage_words or words >= min_words and bisect.bisect_left(rare, a) < bisect.bisect_right(rare, b):
-                        cut.append((a, b))
+                        cut.append((a, b, after))
                         origin.add(source)
                 if cut:
                     out.append((key, tag, [{"first": a, "last": b} for a, b in _merged(cut)], sorted(origin, key=lambda x: (x is None, x))))

@@ -222,3 +222,17 @@ def test_all_pairs_with_repeated_lines(spark):
     got = deleted(spark, docs)
     assert got == all_pairs(docs, naive_blocks)
     assert all(p <= g for p, g in zip(all_pairs(docs, patience_blocks), got, strict=True))
+
+
+def test_blank_lines_break_no_block(spark):
+    text = "\n\n".join(line(i, 9) for i in range(6))
+    docs = [text, text, f"{line(50)}\n\n{text}\n \n{line(51)}"]
+    assert deleted(spark, docs) == [set(), set(range(11)), set(range(2, 13))]
+    rng = random.Random(1)
+    docs = [[x for y in t.split("\n") for x in [""] * rng.choice([0, 0, 1, 2]) + [y]] for t in mosaic(7, repeats=True)]
+    want = []
+    for t, gone in zip(docs, all_pairs(["\n".join(filter(None, t)) for t in docs], naive_blocks), strict=True):
+        at = [i for i, x in enumerate(t) if x]
+        between = {i for k in gone if k + 1 in gone for i in range(at[k], at[k + 1])}
+        want.append(between | {at[k] for k in gone})
+    assert deleted(spark, ["\n".join(t) for t in docs]) == want
