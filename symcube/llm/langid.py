@@ -126,14 +126,14 @@ def fit(docs: DataFrame, per_language: int = 1500, train_words: int = 200, doc_i
                     "id": pa.array([str(r[0]) for r in rows], pa.string()),
                     "y": pa.array([r[2] for r in rows], pa.string()),
                     "u": pa.array([u.tobytes() for u, _ in found], pa.binary()),
-                    "n": pa.array([n.astype(np.int16).tobytes() for _, n in found], pa.binary()),
+                    "n": pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary()),
                 }
             )
 
     table = picked.mapInArrow(task, "id string, y string, u binary, n binary").toArrow()
     rows = sorted(zip(*(table[c].to_pylist() for c in ("id", "y", "u", "n")), strict=True))
     names = sorted(sizes)
-    return train(names, [(np.frombuffer(u, np.int32), np.frombuffer(n, np.int16), names.index(y)) for _, y, u, n in rows])
+    return train(names, [(np.frombuffer(u, np.int32), np.frombuffer(n, np.int32), names.index(y)) for _, y, u, n in rows])
 
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", margin: float = 0.2) -> DataFrame:

@@ -104,3 +104,11 @@ def test_quality_edges(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= set(range(30))
     empty = spark.createDataFrame([], SCHEMA)
     assert quality.score(empty, quality.fit(empty, labels.limit(0))).collect() == []
+
+
+def test_language_counts_of_a_long_word(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda names, parts: seen.extend(parts))
+    ids = [i for i in range(8) if not fold(i)][:2]
+    langid.fit(spark.createDataFrame([(ids[0], "a" * 40_000, "x"), (ids[1], "b c", "y")], "doc_id long, text string, lang string"))
+    assert len(seen) == 2 and max(n.max() for _, n, _ in seen) > 32_767 and all((n > 0).all() for _, n, _ in seen)
