@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,10 +21,17 @@ def probes(hashes: np.ndarray, blocks: int) -> np.ndarray:
     return block * np.uint64(256) + np.arange(8, dtype=np.uint64)[:, None] * np.uint64(32) + bit
 
 
-def build(hashes: DataFrame, most_bytes: int) -> np.ndarray:
-    """The filter of a column of 64-bit hashes, as bytes: twelve bits a hash or more, up to ``most_bytes``.
+def values(column: pa.Array) -> np.ndarray:
+    """64-bit hashes of a column: of longs as they are, of 16-byte binaries the first eight bytes."""
+    if pa.types.is_binary(column.type):
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint64)[::2]
+    return column.to_numpy().astype(np.int64).view(np.uint64)
+
+
+def build(hashes: DataFrame, most_bytes: int, mix: Callable[[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """The filter of a column of 64-bit (or 128-bit binary) hashes, as bytes: twelve bits a hash or more, up to ``most_bytes``.
 
-    Beyond that it becomes less selective, never larger.
+    Beyond that it becomes less selective, never larger.  ``mix`` spreads values that are no hashes yet.
     """
     n = hashes.count()
     size = SEGMENT
@@ -32,7 +41,8 @@ def build(hashes: DataFrame, most_bytes: int) -> np.ndarray:
     def task(batches):
         bits: dict[int, np.ndarray] = {}
         for batch in batches:
-            own = batch.column(0).to_numpy().astype(np.int64).view(np.uint64)
+            own = values(batch.column(0))
+            own = mix(own) if mix else own
             at = np.unique(probes(own, size // 32).ravel()).astype(np.int64)
             segments, begins = np.unique(at // (8 * SEGMENT), return_index=True)
             for s, part in zip(segments.tolist(), np.split(at, begins[1:]), strict=True):

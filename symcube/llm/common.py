@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: The characters of the class [\x20\x09-\x0D].
 WHITE = " \t\n\x0b\x0c\r"
@@ -19,25 +23,61 @@ WHITE = " \t\n\x0b\x0c\r"
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below the cluster's shared folder.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset
-    (local tests) a temporary folder is chosen and recorded in the session.
+    The folder is the session's ``spark.checkpoint.dir``.  Only a local session may leave that unset: it gets
+    a temporary folder, recorded in the session.  A cluster without a shared folder is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.symcube.shared.dir", None)
     if not base:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="symcube-")
         spark.conf.set("spark.symcube.shared.dir", base)
     return f"{base.rstrip('/')}/symcube-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once to the shared folder and return a reader of it.
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is a cluster)."""
+    return master == "local" or master.startswith("local[")
+
 
-    This cuts the lineage: losing an executor afterwards costs nothing but the tasks it ran.
+class Workspace:
+    """The intermediate tables of one run of an operator, in one folder of the shared file system.
+
+    Writing a table cuts the lineage: losing an executor afterwards costs nothing but the tasks it ran.
+    ``clear`` deletes the tables that nothing reads any more.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, shared_dir(spark)
+        self.paths: dict[str, str] = {}
+        self.count = 0
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and return a reader of it; a repeated name replaces the older table's entry."""
+        self.count += 1
+        path = f"{self.root}/{self.count:03d}-{name}"
+        df.write.parquet(path)
+        self.paths[f"{self.count:03d}-{name}"] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, *keep: str) -> None:
+        """Delete all tables but those of the given names."""
+        for key in [k for k in self.paths if k[4:] not in keep]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(key))
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once to a folder of its own and return a reader of it."""
+    return Workspace(df.sparkSession).put(df, name)
+
+
+def id_type(docs: DataFrame, column: str) -> tuple[str, pa.DataType]:
+    """SQL and Arrow type of an identifier column.  Integers, decimals, strings and dates are accepted, others refused."""
+    kind = docs.schema[column].dataType
+    if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.StringType, T.DateType)):
+        raise TypeError(f"identifier {column!r} is of type {kind.simpleString()}; use an integer, decimal, string or date")
+    return kind.simpleString(), to_arrow_type(kind)
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -69,6 +109,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 CACHES: list[Callable[[], None]] = []
 
 
+def release_memory() -> None:
+    """Drop what other operators left in this Python worker and give free memory back to the system."""
+    for forget in CACHES:
+        forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only glibc has it
+        pass
+
+
 def sliced(batches: Iterator[pa.RecordBatch], text: int, limit: int = 2_000_000, keep_caches: bool = False) -> Iterator[pa.RecordBatch]:
     """Record batches with at most ``limit`` bytes in the text column of that number, or a single row.
 
@@ -76,8 +128,7 @@ def sliced(batches: Iterator[pa.RecordBatch], text: int, limit: int = 2_000_000,
     another operator left in memory.
     """
     if not keep_caches:
-        for forget in CACHES:
-            forget()
+        release_memory()
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0

@@ -5,24 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import materialize
+from symcube.llm.common import Workspace
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", work: Workspace | None = None) -> DataFrame:
     """(node, root) for every node of an edge, root being the smallest node of its component.
 
-    Each round lowers every node's label to the least one among its neighbours and then follows the
-    label's own label, so chains shorten by more than half; each round is written, which cuts the
-    lineage.  Hot nodes only widen joins that adaptive execution splits, and partial aggregates.
+    Each round sends every node to the least node of its neighbourhood, and from there once more, and replaces
+    both ends of every edge by where they went; loops and repeats go.  The graph thus shrinks from round
+    to round, so all rounds together cost little more than the first.  A node's root is read off by following
+    the rounds' maps from the last one back.  For nodes that are hashes the number of rounds is logarithmic.
+
+    Null ends and loops are ignored; without an edge the result is empty.  Hot nodes only widen joins that
+    adaptive execution splits, and partial aggregates.
     """
-    both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
-    both = materialize(both.unionByName(both.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("x").alias("node")).agg(F.least(F.col("node"), F.min("y")).alias("root")), "labels")
+    work = work or Workspace(edges.sparkSession)
+    ends = edges.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"), (F.col(a) != F.col(b)).alias("differ")).where("differ")
+    ends = work.put(ends.select("x", "y").distinct(), "edges")
+    maps = []
     while True:
-        near = both.join(labels, both["y"] == labels["node"]).groupBy(F.col("x").alias("node")).agg(F.min("root").alias("low"))
-        lower = labels.join(near, "node").select("node", F.least("root", "low").alias("mid"), F.col("root").alias("was"))
-        jump = labels.select(F.col("node").alias("mid"), F.col("root").alias("far"))
-        new = materialize(lower.join(jump, "mid").select("node", F.least("mid", "far").alias("root"), "was"), "labels")
-        if new.where("root <> was").isEmpty():
-            return new.select("node", "root")
-        labels = new.select("node", "root")
+        both = ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        near = work.put(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("low")).select("node", F.least("node", "low").alias("low")), "near")
+        jump = near.select(F.col("node").alias("low"), F.col("low").alias("root"))
+        step = work.put(near.join(jump, "low").select("node", "root"), "step")
+        maps.append(step)
+        moved = ends.join(step.select(F.col("node").alias("x"), F.col("root").alias("p")), "x").join(step.select(F.col("node").alias("y"), F.col("root").alias("q")), "y")
+        ends = work.put(moved.where("p <> q").select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct(), "edges")
+        if ends.isEmpty():
+            break
+    roots = maps.pop()
+    while maps:
+        later = roots.select(F.col("node").alias("root"), F.col("root").alias("last"))
+        roots = work.put(maps.pop().join(later, "root", "left").select("node", F.coalesce("last", "root").alias("root")), "roots")
+    return roots

@@ -1,8 +1,8 @@
 """N-gram Jaccard join with token-combination prefixes.
 
-A document's set holds its distinct three-word shingles, as 64-bit hashes.  Equal sets are one class
-from the start.  All tokens have one global order: tokens of a single document first, then rare ones,
-then frequent ones, each by hash.  A set of n tokens can lose at most t = n - ceil(0.9 n) of them and
+A document's set holds its distinct three-word shingles, as 64-bit hashes.  Equal sets (equal 128-bit hashes)
+are one class from the start.  All tokens have one global order: tokens of a single document first, then rare
+ones, then frequent ones, each by hash.  A set of n tokens can lose at most t = n - ceil(0.9 n) of them and
 still link, so it indexes a prefix in that order from which no t tokens can remove every signature.  A
 rare token is a signature by itself.  Frequent tokens are dealt into subclasses by hash, and their
 signatures are the pairs of tokens of one subclass; a subclass with m tokens in the prefix withstands
@@ -17,15 +17,19 @@ reaches further, as it takes the tokens with the lowest hashes first.  Tokens ab
 like frequent ones.  The counted tokens of several documents, and among them those of at least
 ``frequent``, go into two Bloom filters of at most ``bloom_bytes`` each, which are broadcast.  A filter
 that is too small for the corpus takes rare tokens for frequent ones, which costs some more signatures;
-whatever the filters hold, the result is the same.
+whatever the filters hold, the result is the same.  The one pass over the texts stores the counted tokens;
+sets whose rare tokens fill the prefix are signed from those, and only the others' texts are read again.
 
-Sets that share a signature are candidates.  Each signature points to its first holder, and the
-connected components of that star graph are the candidate clusters: no bucket is ever expanded to its
-pairs.  Signatures that hold a large share of all rows are found by a frequent-items sketch and
-resolved by map-side aggregation.  A cluster's sets are verified exactly, pair by pair, with an
-inverted index over the cluster; pairs already known to be connected are skipped.  Clusters of more
-than ``block_tokens`` tokens are cut into blocks by size and hash, and each pair of blocks of compatible
-sizes is a task of its own.
+Sets that share a signature are candidates.  Each signature points to its first holder, found by partial
+aggregation, so no bucket is ever expanded to its pairs.  The candidates are verified in two steps:
+
+1. Every set is compared exactly with one of its first holders, its pivot.  A hot pivot's sets are dealt into
+   portions, each with a copy of the pivot.  What links is closed to classes.
+2. The connected components of the candidate graph are the clusters.  A cluster that is one class by now is
+   done: a large group of near copies ends here, in linear work.  In any other cluster, pairs of different
+   classes are verified exactly with an inverted index.  Clusters of more than ``block_tokens`` tokens are
+   cut into blocks by size and hash, and each pair of blocks of neighbouring sizes is a task of its own,
+   except for pairs of blocks of the cluster's largest class, which is connected already.
 
 Defined results
 ---------------
@@ -34,6 +38,7 @@ Defined results
   the document is linked with nothing, its component_id is its own id;
 * every input row gives a row, repeated rows too; rows with null id take part, but component_id is the
   smallest id that is not null (null if there is none);
+* ids are integers, decimals, strings or dates (others: TypeError before any job);
 * an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
@@ -45,14 +50,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from symcube.llm import bloom
-from symcube.llm.common import materialize, sliced
+from symcube.llm.common import Workspace, id_type, sliced
 from symcube.llm.decontaminate import mix, shingles, word_hashes
 from symcube.llm.graph import connected_components
-from symcube.llm.packing import _arrow
 
 WORDS, LINK = 3, (90, 100)
 
@@ -81,8 +84,9 @@ def token_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def set_id(tokens: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).astype(np.int64))
+def set_id(tokens: np.ndarray) -> bytes:
+    """128 bits: tells all sets of a corpus apart."""
+    return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
 def _levels(n: int, link: tuple[int, int]) -> range:
@@ -107,22 +111,28 @@ class Tokens:
         return bloom.may_hold(self.frequent, mix(tokens))
 
 
-def signatures(tokens: np.ndarray, known: Tokens, link: tuple[int, int] = LINK) -> np.ndarray:
-    """The signatures of a set; two sets that link, and differ, have one in common."""
-    n = len(tokens)
-    need = n - least_overlap(n, link) + 1
+def early_signatures(front: np.ndarray, n: int, known: Tokens, link: tuple[int, int] = LINK) -> np.ndarray | None:
+    """The signatures of a set of n tokens whose counted tokens fill the prefix by themselves; None if they don't."""
     if n * link[1] // link[0] == n:
         return np.zeros(0, np.uint64)  # too small to link with another set
-    end = int(np.searchsorted(tokens, counted_range(link)))
-    front = tokens[:end]
     shared = front[known.is_shared(front)]
-    need -= end - len(shared)  # unique tokens stand first, and no other set indexes them
+    need = n - least_overlap(n, link) + 1 - (len(front) - len(shared))  # unique tokens stand first, and no other set indexes them
     if need <= 0:
         return np.zeros(0, np.uint64)
+    rare = shared[~known.is_frequent(shared)]
+    return mix(rare[:need]) if len(rare) >= need else None
+
+
+def signatures(tokens: np.ndarray, known: Tokens, link: tuple[int, int] = LINK) -> np.ndarray:
+    """The signatures of a set; two sets that link, and differ, have one in common."""
+    n, end = len(tokens), int(np.searchsorted(tokens, counted_range(link)))
+    front = tokens[:end]
+    if (early := early_signatures(front, n, known, link)) is not None:
+        return early
+    shared = front[known.is_shared(front)]
+    need = n - least_overlap(n, link) + 1 - (end - len(shared))
     often = known.is_frequent(shared)
     rare = shared[~often]
-    if len(rare) >= need:
-        return mix(rare[:need])
     out = [mix(rare)]
     rest = np.concatenate([tokens[end:], shared[often]])
     for level in _levels(n, link):
@@ -144,15 +154,18 @@ def signatures(tokens: np.ndarray, known: Tokens, link: tuple[int, int] = LINK)
     return np.unique(np.concatenate(out))
 
 
-def forest(sets: list[np.ndarray], side: np.ndarray | None = None, link: tuple[int, int] = LINK) -> np.ndarray:
+def forest(sets: list[np.ndarray], side: np.ndarray | None = None, link: tuple[int, int] = LINK, known: np.ndarray | None = None) -> np.ndarray:
     """Component labels (the least member's number) of the exact link graph of some sets.
 
-    With ``side``, only pairs of different sides are compared.
+    With ``side``, only pairs of different sides are compared.  Sets with equal ``known`` are connected already.
     """
     count = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     order = np.argsort(sizes, kind="stable")
     label = np.arange(count)
+    if known is not None:
+        _, first, group = np.unique(known, return_index=True, return_inverse=True)
+        label = first[group]
     universe, inverse = np.unique(np.concatenate(sets), return_inverse=True)
     frequency = np.bincount(inverse, minlength=len(universe))
     rank = np.empty(len(universe), np.int64)
@@ -196,90 +209,238 @@ def forest(sets: list[np.ndarray], side: np.ndarray | None = None, link: tuple[i
     return label
 
 
-def corpus_tokens(docs: DataFrame, text: str, words: int, link: tuple[int, int], frequent: int, bloom_bytes: int) -> Tokens:
-    """Exact document counts of the counted tokens, reduced to two bounded filters."""
-    front = counted_range(link)
+def _binary(values: list[bytes], counts: list[int]) -> pa.Array:
+    """Each 16-byte value as often as its count says."""
+    data = np.repeat(np.frombuffer(b"".join(values), "V16"), counts).tobytes()
+    return pa.Array.from_buffers(pa.binary(16), len(data) // 16, [None, pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _tokens(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
+def measured(docs: DataFrame, doc_id: str, text: str, words: int, link: tuple[int, int]) -> DataFrame:
+    """The one pass over all texts: doc_id, tag (hash of id and text), n_shingles, sid, front (the counted tokens)."""
+    kind, arrow = id_type(docs, doc_id)
+    limit = counted_range(link)
 
     def task(batches):
-        for batch in sliced(batches, 0):
-            sets = [s[: np.searchsorted(s, front)] for s in token_sets(batch.column(0).to_pylist(), words)]
-            yield pa.RecordBatch.from_pydict({"token": np.concatenate(sets).view(np.int64)})
+        for batch in sliced(batches, 2):
+            sets = token_sets(batch.column(2).to_pylist(), words)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).cast(arrow),
+                    batch.column(1),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_id(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([s[: np.searchsorted(s, limit)].tobytes() if len(s) else None for s in sets], pa.binary()),
+                ],
+                names=["doc_id", "tag", "n_shingles", "sid", "front"],
+            )
 
-    each = docs.select(F.col(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(task, "token long")
-    counts = materialize(each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    def mixed(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_pydict({"h": mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)})
+    return texts_of(docs, doc_id, text).mapInArrow(task, f"doc_id {kind}, tag long, n_shingles long, sid binary, front binary")
+
+
+def texts_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, tag, text: a tag tells rows apart, but for repeated rows."""
+    body = F.col(text).cast("string")
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), body).alias("tag"), body.alias("text"))
+
+
+def corpus_tokens(sets: DataFrame, frequent: int, bloom_bytes: int, work: Workspace) -> Tokens:
+    """Exact document counts of the counted tokens, reduced to two bounded filters."""
+
+    def task(batches):
+        for batch in sliced(batches, 0, 8_000_000):
+            front = _tokens(batch.column(0))
+            yield pa.RecordBatch.from_pydict({"token": np.concatenate(front).view(np.int64)})
 
-    filled = lambda df: bloom.build(df.select("token").mapInArrow(mixed, "h long"), bloom_bytes)
+    each = sets.select("front").where("front IS NOT NULL").mapInArrow(task, "token long")
+    counts = work.put(each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    filled = lambda df: bloom.build(df.select("token"), bloom_bytes, mix)
     return Tokens(filled(counts), filled(counts.where(F.col("n") >= frequent)))
 
 
-def candidate_edges(index: DataFrame, heavy: int = 1024, tracked: int = 8192) -> DataFrame:
-    """(a, b): a set and the first holder of one of its signatures."""
-    found = index.select(F.expr(f"approx_top_k(sig, {heavy}, {tracked})").alias("top")).first()["top"]
-    hot = [x["item"] for x in found or [] if x["count"] >= 64]
-    rest = index
-    parts = []
-    if hot:
-        large = index.where(F.col("sig").isin(hot))
-        first = F.broadcast(large.groupBy("sig").agg(F.min("sid").alias("b")))  # at most `heavy` rows
-        parts.append(large.join(first, "sig").select(F.col("sid").alias("a"), "b"))
-        rest = index.where(~F.col("sig").isin(hot))
-    run = W.partitionBy("sig").orderBy("sid").rowsBetween(W.unboundedPreceding, W.currentRow)
-    parts.append(rest.select(F.col("sid").alias("a"), F.first("sid").over(run).alias("b")))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return out.where("a <> b").distinct()
-
-
-def _signature_task(words: int, link: tuple[int, int], sent):
+def _early_task(link: tuple[int, int], sent):
+    """(sig, sid, tag) from (tag, n_shingles, sid, front); a set whose text is needed gives a row without sig."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in sliced(batches, 0):
-            sids, sigs = [], []
-            for s in token_sets(batch.column(0).to_pylist(), words):
-                sid = set_id(s)
-                if not len(s) or sid in seen:
+        seen: set[bytes] = set()
+        for batch in sliced(batches, 3, 8_000_000):
+            sids, sigs, late, tags = [], [], [], []
+            for tag, n, sid, front in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if sid in seen:
                     continue  # copies of a set are dropped before the shuffle
                 if len(seen) > 300_000:
                     seen.clear()
                 seen.add(sid)
-                own = signatures(s, sent.value, link)
-                sigs.append(own.view(np.int64))
-                sids.append(np.full(len(own), sid, np.int64))
+                own = early_signatures(np.frombuffer(front, np.uint64), n, sent.value, link)
+                if own is None:
+                    late.append(sid)
+                    tags.append(tag)
+                elif len(own):
+                    sigs.append(own.view(np.int64))
+                    sids.append(sid)
+            if sigs:
+                flat = pa.array(np.concatenate(sigs))
+                yield pa.RecordBatch.from_arrays([flat, _binary(sids, [len(x) for x in sigs]), pa.nulls(len(flat), pa.int64())], names=["sig", "sid", "tag"])
+            if late:
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(late), pa.int64()), pa.array(late, pa.binary()), pa.array(tags, pa.int64())], names=["sig", "sid", "tag"])
+
+    return task
+
+
+def picked_sets(batches: Iterator[pa.RecordBatch], words: int, tags: np.ndarray) -> Iterator[tuple[list[bytes], list[np.ndarray]]]:
+    """(sids, sets) of the rows of (tag, text) whose tag the filter may hold; repeated sets of a task once."""
+    seen: set[bytes] = set()
+    for batch in sliced(batches, 1):
+        keep = np.flatnonzero(bloom.may_hold(tags, mix(batch.column(0).to_numpy().view(np.uint64))))
+        if len(keep):
+            found = [(set_id(s), s) for s in token_sets(batch.column(1).take(pa.array(keep)).to_pylist(), words) if len(s)]
+            fresh = {k: s for k, s in found if k not in seen}
+            if len(seen) > 300_000:
+                seen.clear()
+            seen.update(fresh)
+            yield list(fresh), list(fresh.values())
+
+
+def _late_task(words: int, link: tuple[int, int], known, tags):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sids, sets in picked_sets(batches, words, tags.value):
+            sigs = [signatures(s, known.value, link).view(np.int64) for s in sets]
             if sigs:
-                yield pa.RecordBatch.from_pydict({"sig": np.concatenate(sigs), "sid": np.concatenate(sids)})
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), _binary(sids, [len(x) for x in sigs])], names=["sig", "sid"])
 
     return task
 
 
-def _verify_task(link: tuple[int, int]):
-    def done(rows: list[tuple[int, bytes, int]]) -> pa.RecordBatch | None:
+def _picked_task(words: int, tags):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sids, sets in picked_sets(batches, words, tags.value):
+            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sid", "tokens"])
+
+    return task
+
+
+def _held_task(sent):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = bloom.may_hold(sent.value, mix(batch.column(0).to_numpy().view(np.uint64)))
+            yield batch.filter(pa.array(hit))
+
+    return task
+
+
+def candidate_edges(index: DataFrame, bloom_bytes: int, work: Workspace) -> DataFrame:
+    """(a, b): a set and the first holder of one of its signatures.
+
+    Most signatures have one holder.  A bounded filter of the others keeps those rows out of the join.
+    """
+    first = index.groupBy("sig").agg(F.min("sid").alias("b"), F.max("sid").alias("top")).where("b <> top").select("sig", "b")
+    first = work.put(first, "first")
+    sent = index.sparkSession.sparkContext.broadcast(bloom.build(first.select("sig"), bloom_bytes, mix))
+    held = index.mapInArrow(_held_task(sent), "sig long, sid binary")
+    edges = held.join(first, "sig").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct()
+    return work.put(edges, "candidates")
+
+
+def _pivot_task(link: tuple[int, int]):
+    """Links (a, b) from (pivot, part, member, sid, tokens), where a pivot's own row comes before those of its sets."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, pivot = b"", np.zeros(0, np.uint64)
+        for batch in sliced(batches, 4, 8_000_000):
+            linked = []
+            for key, member, sid, tokens in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
+                x = np.frombuffer(tokens, np.uint64)
+                if not member:
+                    own, pivot = key, x
+                elif key == own:
+                    at = np.minimum(np.searchsorted(pivot, x), len(pivot) - 1)
+                    both = int((pivot[at] == x).sum())
+                    if link[1] * both >= link[0] * (len(x) + len(pivot) - both):
+                        linked.append((sid, key))
+            if linked:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*linked, strict=True)], names=["a", "b"])
+
+    return task
+
+
+def _block_task(link: tuple[int, int]):
+    """Links (a, b) from (root, low, high, sid, tokens, block, known), sorted by the first three."""
+
+    def done(rows: list[tuple[bytes, bytes, int, bytes]]) -> pa.RecordBatch | None:
         unique = {r[0]: r for r in rows}
         sids = sorted(unique)
+        if len(sids) < 2:
+            return None
         sets = [np.frombuffer(unique[s][1], np.uint64) for s in sids]
         side = np.array([unique[s][2] for s in sids])
-        label = forest(sets, side if len(set(side)) > 1 else None, link) if len(sets) > 1 else np.zeros(len(sets), int)
+        known = np.unique([unique[s][3] for s in sids], return_inverse=True)[1]
+        label = forest(sets, side if len(set(side)) > 1 else None, link, known)
         linked = [(sids[i], sids[k]) for i, k in enumerate(label) if i != k]
         if not linked:
             return None
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*linked, strict=True)], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*linked, strict=True)], names=["a", "b"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
-        for batch in batches:
-            for *k, sid, tokens, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for batch in sliced(batches, 4, 8_000_000):
+            for *k, sid, tokens, block, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if k != key:
                     if rows and (out := done(rows)):
                         yield out
                     key, rows = k, []
-                rows.append((sid, tokens, block))
+                rows.append((sid, tokens, block, known))
         if rows and (out := done(rows)):
             yield out
 
     return task
 
 
+def _dealt(df: DataFrame, keys: list[str], more: tuple[str, ...] = ()) -> DataFrame:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, *more)
+
+
+def pivot_links(have: DataFrame, link: tuple[int, int], portion: int) -> DataFrame:
+    """Verified links (a, b) of every set with its pivot."""
+    sizes = have.where("pivot IS NOT NULL").groupBy("pivot").agg(F.ceil(F.count("*") / portion).alias("parts"))
+    own = have.select(F.col("sid").alias("pivot"), "sid", "tokens").join(sizes, "pivot")
+    own = own.select("pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("member"), "sid", "tokens")
+    rest = have.select("pivot", "sid", "tokens").join(sizes, "pivot")
+    rest = rest.select("pivot", F.pmod(F.xxhash64("sid"), "parts").alias("part"), F.lit(1).alias("member"), "sid", "tokens")
+    return _dealt(own.unionByName(rest), ["pivot", "part"], ("member",)).mapInArrow(_pivot_task(link), "a binary, b binary")
+
+
+def block_links(have: DataFrame, link: tuple[int, int], block_tokens: int) -> DataFrame:
+    """Verified links (a, b) between different classes ("known") of the clusters ("root")."""
+    # a large cluster is cut by size: linked sets are in the same band or in neighbouring ones
+    have = have.withColumn("band", F.floor(F.log("n") / F.log(F.lit(link[1] / link[0]))).cast("long"))
+    # sums are taken by partial aggregation, and only they are gathered by cluster
+    per_band = have.groupBy("root", "known", "band").agg(F.sum("n").alias("n"))
+    per_class = per_band.groupBy("root", "known").agg(F.sum("n").alias("n"))
+    largest = per_class.groupBy("root").agg(F.sum("n").alias("total"), F.max(F.struct("n", "known")).alias("m"))
+    large = largest.where(F.col("total") > block_tokens).select("root", F.col("m.known").alias("main"))
+    # blocks are numbered by kind (1: of the largest class), band and a part by hash
+    group = (F.col("known") == F.col("main")).cast("long") * 4096 + F.col("band")
+    per_group = per_band.join(large, "root").groupBy("root", "main", group.alias("g")).agg(F.ceil(F.sum("n") / block_tokens).alias("parts"))
+    cut = per_group.groupBy("root", "main").agg(F.map_from_entries(F.collect_list(F.struct("g", "parts"))).alias("parts"))
+    have = have.join(cut, "root", "left").withColumn("g", group)
+    number = lambda g, p: g * F.lit(1 << 32) + p
+    block = number(F.col("g"), F.pmod(F.xxhash64("sid"), F.element_at("parts", F.col("g"))))
+    # what a block meets: the blocks of neighbouring bands, but those of the largest class don't meet each other
+    others = F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)
+    mains = F.when(F.col("g") < 4096, F.transform(others, lambda b: b + 4096)).otherwise(F.array().cast("array<bigint>"))
+    met = F.filter(F.concat(others, mains), lambda g: F.map_contains_key("parts", g))
+    near = F.flatten(F.transform(met, lambda g: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("parts", g) - 1), lambda p: number(g, p))))
+    whole = F.col("parts").isNull()
+    have = have.withColumn("block", F.when(whole, F.lit(0).cast("long")).otherwise(block))
+    have = have.withColumn("other", F.explode(F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(near)))
+    rows = have.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "sid", "tokens", "block", "known")
+    return _dealt(rows, ["root", "low", "high"]).mapInArrow(_block_task(link), "a binary, b binary")
+
+
 def _classes(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -288,84 +449,54 @@ def _classes(
     link: tuple[int, int] = LINK,
     frequent: int = 3,
     bloom_bytes: int = 32 << 20,
-    block_tokens: int = 1_000_000,
-    broadcast_ids: int = 1_000_000,
+    block_tokens: int = 500_000,
+    portion: int = 100,
 ) -> DataFrame:
-    """One row per input row: doc_id, tag (hash of the text), n_shingles, component_id, stays."""
-    spark = docs.sparkSession
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text).cast("string")).alias("tag"))
-    kind = slim.schema["doc_id"].dataType.simpleString()
-
-    def measure(batches):
-        for batch in sliced(batches, 1):
-            sets = token_sets(batch.column(1).to_pylist(), words)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).cast(_arrow(kind)),
-                    batch.column(2),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-                ],
-                names=["doc_id", "tag", "n_shingles", "sid"],
-            )
-
-    base = materialize(slim.mapInArrow(measure, f"doc_id {kind}, tag long, n_shingles long, sid long"), "sets")
-    sent = spark.sparkContext.broadcast(corpus_tokens(docs, text, words, link, frequent, bloom_bytes))
-    index = slim.select("text").where("text IS NOT NULL").mapInArrow(_signature_task(words, link, sent), "sig long, sid long")
-    clusters = connected_components(candidate_edges(materialize(index, "index")))
-
-    # one row of each clustered set supplies its tokens
-    sizes = base.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
-    members = materialize(clusters.join(sizes, clusters["node"] == sizes["sid"]).select("sid", "root", "rep", "n"), "members")
-    # a large cluster is cut by size: linked sets are in the same band or in neighbouring ones
-    members = members.withColumn("band", F.floor(F.log("n") / F.log(F.lit(link[1] / link[0]))))
-    bands = members.groupBy("root", "band").agg(F.sum("n").alias("n"))
-    bands = bands.groupBy("root").agg(F.sum("n").alias("n"), F.collect_list(F.struct("band", F.ceil(F.col("n") / block_tokens).alias("parts"))).alias("parts"))
-    large = materialize(bands.where(F.col("n") > block_tokens).select("root", F.map_from_entries("parts").alias("parts")), "large")
-    members = members.join(large, "root", "left")
-    part = F.pmod(F.xxhash64("sid"), F.element_at("parts", F.col("band")))
-    members = members.withColumn("block", F.when(F.col("parts").isNotNull(), F.col("band") * (1 << 32) + part).otherwise(0))
-    # the blocks that a block meets, itself included
-    near = F.flatten(
-        F.transform(
-            F.filter(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1), lambda b: F.map_contains_key("parts", b)),
-            lambda b: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("parts", b) - 1), lambda p: b * (1 << 32) + p),
-        )
-    )
-    members = members.withColumn("meets", F.when(F.col("parts").isNotNull(), near).otherwise(F.array(F.lit(0).cast("long"))))
-    members = members.select(F.col("sid").alias("want"), "root", "rep", "block", "meets")
-    few = members.count() <= broadcast_ids
-    wanted = F.broadcast(members) if few else members
-    texts = slim.join(wanted, slim["doc_id"].eqNullSafe(members["rep"])).select("text", "want", "root", "block", "meets")
-
-    def tokens(batches):
-        for batch in sliced(batches, 0):
-            sets = token_sets(batch.column(0).to_pylist(), words)
-            # a repeated id may bring another text along; the set's own text has its id
-            keep = [i for i, (s, w) in enumerate(zip(sets, batch.column(1).to_pylist(), strict=True)) if len(s) and set_id(s) == w]
-            picked = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*picked.columns[1:], pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["sid", "root", "block", "meets", "tokens"]
-            )
-
-    rows = texts.mapInArrow(tokens, "sid long, root long, block long, meets array<bigint>, tokens binary")
-    rows = rows.withColumn("other", F.explode("meets")).select(
-        "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "sid", "tokens", "block"
-    )
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "root", "low", "high").sortWithinPartitions("root", "low", "high")
-    links = materialize(rows.mapInArrow(_verify_task(link), "a long, b long"), "links")
-    if large.isEmpty():  # each cluster was verified at once, so links point to their class already
-        labels = links.select(F.col("a").alias("sid"), F.col("b").alias("class"))
-    else:
-        labels = connected_components(links).select(F.col("node").alias("sid"), F.col("root").alias("class"))
-    labelled = base.where("sid IS NOT NULL").join(labels, "sid", "left").withColumn("class", F.coalesce("class", "sid"))
+    """One row per input row: doc_id, tag (hash of id and text), n_shingles, component_id, stays."""
+    spark, work = docs.sparkSession, Workspace(docs.sparkSession)
+    texts = texts_of(docs, doc_id, text).select("tag", "text").where("text IS NOT NULL")
+    send = spark.sparkContext.broadcast
+    bloom_of = lambda tags: send(bloom.build(tags, bloom_bytes, mix))
+
+    sets = work.put(measured(docs, doc_id, text, words, link), "sets")
+    base = sets.drop("front")
+    known = send(corpus_tokens(sets, frequent, bloom_bytes, work))
+    early = sets.where("sid IS NOT NULL").select("tag", "n_shingles", "sid", "front").mapInArrow(_early_task(link, known), "sig long, sid binary, tag long")
+    early = work.put(early, "early")
+    late = early.where("sig IS NULL").groupBy("sid").agg(F.min("tag").alias("tag")).select("tag")  # one document of each set
+    late = work.put(texts.mapInArrow(_late_task(words, link, known, bloom_of(late)), "sig long, sid binary"), "late")
+    index = early.where("sig IS NOT NULL").select("sig", "sid").unionByName(late)
+    edges = candidate_edges(index, bloom_bytes, work)
+    clusters = connected_components(edges, work=work)
+
+    # one document of each clustered set supplies its tokens
+    pivots = edges.groupBy(F.col("a").alias("sid")).agg(F.min("b").alias("pivot"))
+    members = base.where("sid IS NOT NULL").groupBy("sid").agg(F.min("tag").alias("tag"), F.max("n_shingles").alias("n"))
+    members = clusters.select(F.col("node").alias("sid"), "root").join(members, "sid").join(pivots, "sid", "left")
+    members = work.put(members, "members")
+    tokens = texts.mapInArrow(_picked_task(words, bloom_of(members.select("tag"))), "sid binary, tokens binary")
+    tokens = work.put(tokens, "tokens").groupBy("sid").agg(F.first("tokens").alias("tokens"))
+    have = work.put(members.drop("tag").join(tokens, "sid"), "have")
+
+    links = work.put(pivot_links(have, link, portion), "links")
+    classes = connected_components(links, work=work).select(F.col("node").alias("sid"), F.col("root").alias("class"))
+    placed = members.select("sid", "root").join(classes, "sid", "left").select("sid", "root", F.coalesce("class", "sid").alias("known"))
+    split = placed.groupBy("root").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low <> high").select("root")
+    rest = work.put(placed.join(split, "root").select("sid", "known"), "open")
+    more = work.put(block_links(have.select("sid", "root", "n", "tokens").join(rest, "sid"), link, block_tokens), "more")
+    if not more.isEmpty():
+        classes = connected_components(links.unionByName(more), work=work).select(F.col("node").alias("sid"), F.col("root").alias("class"))
+
+    labelled = base.where("sid IS NOT NULL").join(classes, "sid", "left").withColumn("class", F.coalesce("class", "sid"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag"))  # the smallest id; null if there is none
     ids = labelled.groupBy("class").agg(first.alias("first"))
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag"))
     linked = labelled.join(ids, "class").select("doc_id", "tag", "n_shingles", F.col("first.doc_id").alias("component_id"), own.alias("stays"))
     alone = base.where("sid IS NULL").select("doc_id", "tag", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
-    return linked.unionByName(alone)
+    result = work.put(linked.unionByName(alone), "result")
+    work.clear("result")
+    known.destroy()
+    return result
 
 
 def similarity_classes(docs: DataFrame, **how) -> DataFrame:
@@ -376,13 +507,14 @@ def similarity_classes(docs: DataFrame, **how) -> DataFrame:
     return _classes(docs, **how).select("doc_id", "n_shingles", "component_id")
 
 
-def keep_first_of_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_ids: int = 500_000, **how) -> DataFrame:
+def keep_first_of_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_rows: int = 500_000, **how) -> DataFrame:
     """The rows of ``docs`` without all but one document of each class, with all their columns.
 
-    Rows with equal id and text share their fate.
+    Rows with equal id and text share their fate.  The list of dropped rows (24 bytes each) is broadcast up to
+    ``broadcast_rows``; beyond, an ordinary anti-join gives the same rows.
     """
-    classes = materialize(_classes(docs, doc_id, text, **how), "classes")
-    gone = classes.where(~F.col("stays")).select(F.col("doc_id").alias("__gone_id"), F.col("tag").alias("__gone_tag")).distinct()
-    on = [F.col("__gone_id").eqNullSafe(F.col(doc_id)), F.col("__gone_tag") == F.xxhash64(F.col(text).cast("string"))]
-    few = gone.count() <= broadcast_ids  # else an ordinary join
+    classes = _classes(docs, doc_id, text, **how)
+    gone = classes.where(~F.col("stays")).select("doc_id", "tag").distinct()
+    on = [gone["doc_id"].eqNullSafe(docs[doc_id]), gone["tag"] == F.xxhash64(docs[doc_id], docs[text].cast("string"))]
+    few = gone.count() <= broadcast_rows
     return docs.join(F.broadcast(gone) if few else gone, on, "left_anti")

@@ -105,7 +105,7 @@ def test_signatures_stay_in_proportion():
     assert len(J.signatures(tokens, known)) < len(tokens)
 
 
-@pytest.mark.parametrize("how", [{}, {"frequent": 2}, {"frequent": 2, "block_tokens": 300, "broadcast_ids": 0}, {"frequent": 2, "bloom_bytes": 1}, {"frequent": 10**6}])
+@pytest.mark.parametrize("how", [{}, {"frequent": 2}, {"frequent": 2, "block_tokens": 300, "portion": 2}, {"frequent": 2, "bloom_bytes": 1}, {"frequent": 10**6}])
 def test_matches_brute_force(spark, how):
     rows = [((i * 37) % 1009, t) for i, t in enumerate(corpus(99))]
     rows += [(None, rows[0][1]), (None, "null id alone in its class here"), (rows[3][0], rows[3][1]), (rows[3][0], rows[9][1])]
