@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from symcube.llm.common import materialize, text_or_empty
+from symcube.llm.common import id_type, materialize, text_or_empty
 from symcube.llm.tokens import encoded, encoder, in_order
 
 
@@ -34,7 +34,7 @@ def encode_once(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc
     """Pass 1, written: doc_id, part, local (tokens of the partition before it), n_tokens, ids (narrow little-endian)."""
     plain = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     rows = in_order(docs, doc_id, text) if by_id else plain
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    kind, arrow = id_type(rows, "doc_id")
 
     def task(batches):
         part, local = TaskContext.get().partitionId(), 0
@@ -44,17 +44,13 @@ def encode_once(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc
             ends = local + np.cumsum(n)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": keys, "part": np.full(len(keys), part, np.int32), "local": ends - n, "n_tokens": n, "ids": pa.array(ids, pa.binary())},
-                schema=pa.schema([("doc_id", _arrow(kind)), ("part", pa.int32()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]),
+                schema=pa.schema([("doc_id", arrow), ("part", pa.int32()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]),
             )
             local = int(ends[-1])
 
     return materialize(rows.mapInArrow(task, f"doc_id {kind}, part int, local long, n_tokens long, ids binary"), "ids")
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "string": pa.string()}[kind]
-
-
 def with_start(ids: DataFrame) -> DataFrame:
     """Adds ``begin``, the number of ids of all documents before; sums one row per partition."""
     totals = ids.groupBy("part").agg(F.sum("n_tokens").alias("total"))
@@ -72,10 +68,10 @@ def pack(
     ``ids`` are the piece's token ids as little-endian unsigned 32-bit integers.
     """
     stored = with_start(encode_once(docs, tokenizer, end_id, doc_id, text, by_id)).select("doc_id", "begin", "n_tokens", "ids")
-    kind = stored.schema["doc_id"].dataType.simpleString()
+    kind, arrow = id_type(stored, "doc_id")
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     flags = ["continued", "continues"]
-    fields = [("doc_id", _arrow(kind)), *((n, pa.int64()) for n in names), *((n, pa.bool_()) for n in flags)]
+    fields = [("doc_id", arrow), *((n, pa.int64()) for n in names), *((n, pa.bool_()) for n in flags)]
     fields += [("ids", pa.binary())] if keep_ids else []
     schema = pa.schema(fields)
 

@@ -19,6 +19,7 @@ manifest, a table that Spark commits; files of failed attempts are never referre
 
 Defined results
 ---------------
+* ids are integers or strings (others: TypeError before any job);
 * null and empty texts hold the end id alone; a null id sorts first; every input row is an entry,
   repeated ids too, and a lookup returns all entries of its key;
 * an empty table gives no shards and empty results; other columns are ignored, whatever their names.
@@ -39,9 +40,10 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
-from symcube.llm.common import materialize, shared_dir
-from symcube.llm.packing import _arrow
+from symcube.llm.common import id_type, materialize, shared_dir
 from symcube.llm.tokens import encoded, encoder, in_order
 
 MAGIC = b"SSTIDS01"
@@ -201,7 +203,10 @@ class Reader:
 
 
 def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """Write the shards; returns the manifest: part, path, first_key, last_key, n_docs, n_tokens."""
+    """Write the shards; returns the manifest: part, path, id_type, first_key, last_key, n_docs, n_tokens."""
+    kind, arrow = id_type(docs, doc_id)
+    if not (pa.types.is_integer(arrow) or pa.types.is_string(arrow)):
+        raise TypeError(f"shards are keyed by integers or strings, not by {kind}")
     root = path or f"{shared_dir(docs.sparkSession)}/shards"
     rows = in_order(docs, doc_id, text)
 
@@ -218,13 +223,13 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, doc_id: str =
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict(
-                {"part": pa.array([part], pa.int32()), "path": [name], "first_key": [first], "last_key": [writer.last], "n_docs": [writer.docs], "n_tokens": [writer.tokens]}
+                {"part": pa.array([part], pa.int32()), "path": [name], "id_type": [kind], "first_key": [first], "last_key": [writer.last], "n_docs": [writer.docs], "n_tokens": [writer.tokens]}
             )
 
-    return materialize(rows.mapInArrow(task, "part int, path string, first_key binary, last_key binary, n_docs long, n_tokens long"), "manifest")
+    return materialize(rows.mapInArrow(task, "part int, path string, id_type string, first_key binary, last_key binary, n_docs long, n_tokens long"), "manifest")
 
 
-def read_shards(manifest: DataFrame, id_type: str = "bigint", with_ids: bool = False) -> DataFrame:
+def read_shards(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
     """Every document of the shards: doc_id, start (ids of all documents before), n_tokens, ids_crc32[, ids].
 
     ``start`` is a prefix sum over the manifest, one small row per shard.
@@ -234,7 +239,10 @@ def read_shards(manifest: DataFrame, id_type: str = "bigint", with_ids: bool = F
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     shards = manifest.select("part", "path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
     n = max(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), manifest.count())
-    fields = [("doc_id", _arrow(id_type)), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+    head = manifest.select("id_type").first()  # one small row per shard; none for an empty table
+    kind = head["id_type"] if head else "bigint"
+    arrow = to_arrow_type(_parse_datatype_string(kind))
+    fields = [("doc_id", arrow), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
     fields += [("ids", pa.binary())] if with_ids else []
     schema = pa.schema(fields)
 
@@ -256,7 +264,7 @@ def read_shards(manifest: DataFrame, id_type: str = "bigint", with_ids: bool = F
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     spread = shards.select("path", "base").repartition(n)
-    return spread.mapInArrow(task, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    return spread.mapInArrow(task, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def lookup(manifest: DataFrame, keys: list) -> dict:

@@ -44,7 +44,8 @@ class Encoder(dict):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        #: text that the tokenizer takes out before anything else; a text with one of these is encoded whole
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content]
         self.model = self.tok.model
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
@@ -117,7 +118,7 @@ class Encoder(dict):
             self.clear()
         get, out = self.__getitem__, []
         for t in texts:
-            if "\0" in t:
+            if "\0" in t or any(x in t for x in self.added):
                 out += self._plain([t])
                 continue
             pieces = t.split(" ")

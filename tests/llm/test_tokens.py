@@ -17,7 +17,6 @@ PARTS = ["a", "Hello", " ", "  ", "\n", "\r\n", "\t", " ", " ", "\x85", "\x1c
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
