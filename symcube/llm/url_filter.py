@@ -1,13 +1,15 @@
 """URL filter: a blocked Bloom filter of listed keys, then an exact hash join.
 
-Two lists are looked up by the same way.  A rule (host, path, verdict) is listed under ``host + path``
-and fits its host, all subdomains and every path that starts with its own; a listed canonical URL is
+Two lists are looked up by the same way.  A rule (host, path, verdict) is listed under ``host#path`` (neither
+part can hold a ``#``) and fits its host, all subdomains and every path that starts with its own; a listed canonical URL is
 listed under itself and fits pages with that canonical URL.  A page therefore has a bounded set of
 lookup keys: each suffix of its host at a dot, with each prefix of its path whose length occurs among
 the rules, plus its canonical URL.  The Bloom filter (blocks of 256 bits, eight probes in one block) is
 broadcast; its size is at most ``bloom_bytes`` whatever the lists' size, so it may become less
-selective but never larger.  Possible hits go to an exact join with the lists, which removes the false
-positives; a hot key's hits are spread over ``salts`` copies of its rule.
+selective but never larger.  Possible hits go to an exact hash join with the lists, which removes the false
+positives: their keys are counted by partial aggregation and joined with the lists, one row per key.  Listed keys that
+hold at least a 1/``hot`` share of all hits (so at most ``hot`` keys) are broadcast to their pages, which are not
+shuffled; the others' hits are joined by a shuffled hash join.
 
 The longest fitting rule decides; without one, a listed canonical URL is blocked and others allowed.
 
@@ -19,6 +21,7 @@ Defined results
 * the canonical URL is the host without a leading ``www.`` and the path without trailing slashes;
 * listed rules with equal host and path: the verdict that sorts last ('block') counts; rules with a null
   host, path or verdict are ignored;
+* ids are integers, decimals, strings or dates (others: TypeError before any job);
 * every input row gives a row, null ids and repeated rows included; empty lists allow everything, an empty
   table gives an empty result; other columns are ignored, whatever their names.
 """
@@ -32,8 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from symcube.llm import bloom
-from symcube.llm.common import materialize
-from symcube.llm.packing import _arrow
+from symcube.llm.common import id_type, materialize
 
 def host_path(url: str = "url") -> tuple[Column, Column]:
     """Host and path of a url column, as the module's docstring defines them."""
@@ -58,14 +60,14 @@ def may_hold(bits: np.ndarray, keys: list[str]) -> np.ndarray:
     return bloom.may_hold(bits, np.array([xxhash.xxh64_intdigest(k.encode(), 42) for k in keys], np.uint64))
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id: str = "page_id", url: str = "url", bloom_bytes: int = 32 << 20, salts: int = 16) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id: str = "page_id", url: str = "url", bloom_bytes: int = 32 << 20, hot: int = 1024) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, listed.
 
     ``rules`` has host, path and verdict; ``listed`` has the column url, in any spelling.
     """
     rule = F.concat("host", "path")
     known = rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL").groupBy("host", "path")
-    known = known.agg(F.max("verdict").alias("verdict")).select(F.concat(F.lit("R "), rule).alias("key"), rule.alias("rule"), "verdict", F.char_length("path").alias("n"))
+    known = known.agg(F.max("verdict").alias("verdict")).select(F.concat(F.lit("R "), "host", F.lit("#"), "path").alias("key"), rule.alias("rule"), "verdict", F.char_length("path").alias("n"))
     h, p = host_path("url")
     exact = listed.select(canonical(h, p).alias("u")).where("u != ''").distinct().select(F.concat(F.lit("U "), F.col("u")).alias("key"))
     table = materialize(known.unionByName(exact, allowMissingColumns=True), "listed")
@@ -74,7 +76,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id:
     h, p = host_path(url)
     rows = pages.select(F.col(page_id).alias("page_id"), F.monotonically_increasing_id().alias("row"), h.alias("host"), p.alias("path"))
     rows = rows.withColumn("own", canonical(F.col("host"), F.col("path")))
-    kind = rows.schema["page_id"].dataType.simpleString()
+    kind, arrow = id_type(rows, "page_id")
 
     def task(batches):
         for batch in batches:
@@ -82,7 +84,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id:
             for host, path, own in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 at = 0 if host else -1
                 while at >= 0:
-                    keys += [f"R {host[at:]}{path[:n]}" for n in lengths if n <= len(path)]
+                    keys += [f"R {host[at:]}#{path[:n]}" for n in lengths if n <= len(path)]
                     at = host.find(".", at) + 1 or -1
                 if own:
                     keys.append(f"U {own}")
@@ -90,13 +92,17 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id:
             hit = np.flatnonzero(may_hold(sent.value, keys)) if keys else np.zeros(0, np.int64)
             offsets = np.concatenate([[0], np.searchsorted(hit, ends)]).astype(np.int32)
             hits = pa.ListArray.from_arrays(pa.array(offsets), pa.array([keys[i] for i in hit], pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(_arrow(kind)), *batch.columns[1:4], hits], names=["page_id", "row", "host", "path", "hits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow), *batch.columns[1:4], hits], names=["page_id", "row", "host", "path", "hits"])
 
     probed = materialize(rows.mapInArrow(task, f"page_id {kind}, row long, host string, path string, hits array<string>"), "probed")
     hits = probed.where(F.size("hits") > 0).select("row", F.explode("hits").alias("key"))
-    hits = hits.withColumn("salt", F.when(F.col("key").startswith("R "), F.pmod("row", F.lit(salts))).otherwise(0))
-    copies = table.select("key", "rule", "verdict", F.explode(F.when(F.col("rule").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")).otherwise(F.array(F.lit(0).cast("bigint")))).alias("salt"))
-    fits = hits.join(copies, ["key", "salt"])
+    counts = hits.groupBy("key").agg(F.count("*").alias("hits"))
+    verified = materialize(table.join(counts.hint("shuffle_hash"), "key").select("key", "rule", "verdict", "hits"), "verified")
+    total = verified.agg(F.sum("hits").alias("n")).first()["n"] or 0
+    frequent = verified.where(F.col("hits") * hot >= total)  # at most `hot` rows
+    fits = hits.join(F.broadcast(frequent), "key")
+    others = hits.join(F.broadcast(frequent.select("key")), "key", "left_anti")
+    fits = fits.unionByName(others.join(verified.where(F.col("hits") * hot < total).hint("shuffle_hash"), "key"))
     best = fits.groupBy("row").agg(
         F.max(F.when(F.col("rule").isNotNull(), F.struct(F.char_length("rule").alias("n"), "rule", "verdict"))).alias("best"),
         F.max(F.col("rule").isNull()).alias("listed"),

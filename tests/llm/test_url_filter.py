@@ -56,7 +56,10 @@ def test_matches_brute_force(spark):
     listed = ["http://www.shop.net/es", "https://SHOP.net", "http://notexample.org/de/b", None, "", "bad"]
     want = sorted(((i, *brute(u, RULES, listed)) for i, u in pages), key=str)
     assert run(spark, pages, RULES, listed) == want
-    assert run(spark, pages, RULES, listed, bloom_bytes=1, salts=1) == want
+    assert run(spark, pages, RULES, listed, bloom_bytes=1, hot=1) == want
+    assert run(spark, pages, RULES, listed, hot=10**9) == want
+    glued = [*RULES, ("shop.n", "et", "block"), ("net", "et/x", "block")]  # a path that does not begin with a slash fits nothing
+    assert run(spark, pages, glued, listed) == want
     odd = [*RULES, ("com", "/de/", "allow"), (None, "/", "block"), ("net", None, "block"), ("net", "", "block")]
     want = sorted(((i, *brute(u, [*RULES, ("net", "", "block")], [])) for i, u in pages), key=str)
     assert run(spark, pages, odd, []) == want
