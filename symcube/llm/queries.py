@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from symcube.llm import decontaminate, exact_dedup, langid, line_dedup, ngram_join, packing, quality, secrets, sstable, url_filter
 from symcube.llm.common import read
@@ -35,7 +36,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_secrets(read(spark, sf_dir, "documents")).drop("findings")
+    """An owner is a source of the documents, a repository its documents of one language."""
+    docs = read(spark, sf_dir, "documents")
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang")]
+    return secrets.scan_secrets(docs, owner="source", repo=F.concat_ws("/", *parts)).drop("findings")
 
 
 # The contract's rules (host, path, verdict).
@@ -114,6 +118,46 @@ ORACLES: dict[str, str] = {
                row_number() OVER w = 1 AS kept,
                h AS text_sha256
         FROM t WINDOW w AS (PARTITION BY h ORDER BY length(body) DESC, doc_id)""",
+    "op5_secret_scan": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner,
+                   coalesce(source, '') || '/' || coalesce(lang, '') AS repo FROM documents),
+        k AS (
+            SELECT * FROM (VALUES
+                (0, 'assign', 6, '(?s)(.*?)(?:(?i:(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))|\z)'),
+                (1, 'access', 20, '(?s)(.*?)(?:(AKIA[A-Z0-9]+)|\z)'),
+                (2, 'hex', 24, '(?s)(.*?)(?:([0-9a-f]+)|\z)'),
+                (3, 'owned', 20, '(?s)(.*?)(?:([A-Za-z0-9+/_-]{20,})|\z)')) AS v(k, kind, least, pattern)),
+        f AS (
+            SELECT r, 0 AS k, regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 0), 0) AS a, regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 0), 1) AS g,
+                   regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 0), 2) AS s FROM d
+            UNION ALL SELECT r, 1, regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 1), 0), regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 1), 1),
+                   regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 1), 2) FROM d
+            UNION ALL SELECT r, 2, regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 2), 0), regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 2), 1),
+                   regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 2), 2) FROM d
+            UNION ALL SELECT r, 3, regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 3), 0), regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 3), 1),
+                   regexp_extract_all(t, (SELECT pattern FROM k WHERE k = 3), 2) FROM d),
+        u AS (SELECT r, k, unnest(range(len(a))) AS i, unnest(a) AS a, unnest(g) AS g, unnest(s) AS s FROM f),
+        p AS (SELECT *, sum(length(a)) OVER (PARTITION BY r, k ORDER BY i) - length(a) AS base FROM u),
+        c AS (
+            SELECT p.r, p.k, k.kind, CAST(base + length(g) AS BIGINT) AS a, CAST(base + length(p.a) AS BIGINT) AS b, sha256(s) AS h FROM p JOIN k ON k.k = p.k
+            WHERE length(p.a) > length(g) AND length(s) >= least
+              AND (p.k < 3 OR regexp_matches(s, '[0-9]') AND regexp_matches(s, '[a-z]') AND regexp_matches(s, '[A-Z]'))),
+        o AS (SELECT h, count(DISTINCT repo) AS n_repos, count(DISTINCT owner) AS n_owners FROM c JOIN d ON d.r = c.r GROUP BY h),
+        x AS (
+            SELECT c.*, n_owners >= 3 OR n_repos >= 4 AS example,
+                   c.k < 3 OR (n_owners = 1 AND n_repos < 4 AND NOT EXISTS (SELECT 1 FROM c AS y WHERE y.r = c.r AND y.k < 3 AND y.a < c.b AND c.a < y.b)) AS stays
+            FROM c JOIN o ON o.h = c.h),
+        n AS (
+            SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+                   sha256(coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) FILTER (k < 3), '')) AS base_sha256,
+                   string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) AS spans, count(*) FILTER (k = 3) AS n_owned,
+                   count(*) FILTER (NOT example) AS n_live, count(*) FILTER (example) AS n_example
+            FROM x WHERE stays GROUP BY r)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_owned, 0) AS n_owned,
+               coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+        FROM d LEFT JOIN n ON n.r = d.r""",
     "op6_url_filter": r"""
         WITH r AS (
             SELECT page_id, url, CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '^.*?://(.*)$', 1, 's') ELSE '' END AS rest FROM pages),

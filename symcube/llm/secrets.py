@@ -7,15 +7,17 @@ code points, and the scan stays linear because the last match always succeeds at
 Only texts that pass a cheap test for a kind's fixed parts run that kind's pattern.
 
 Every candidate's SHA-256 is then aggregated over the corpus: the number of distinct repositories and
-owners that hold it.  A candidate held by ``example_owners`` or more owners is a widely copied example,
-otherwise a live-looking credential of its owner.  Base spans always stay; a generic token becomes an
-added span of kind ``owned`` only if it overlaps no base span and just one owner holds it.
+owners that hold it.  A candidate held by ``example_owners`` or more owners, or in ``example_repos`` or more
+repositories, is a widely copied example, otherwise a live-looking credential.  Base spans always stay; a generic
+token becomes an added span of kind ``owned`` only if it overlaps no base span, one single owner holds it, and
+it is live-looking.  Owner and repository are columns or expressions; a table that names only the owner may
+derive its repositories from it and another column.
 
 Defined results
 ---------------
 * null text counts as empty; a document without spans has zero counts, the SHA-256 of the empty
   string and an empty ``spans``;
-* every input row gives one row, repeated rows and null ids included (rows are told apart by an
+* ids may be of any type; every input row gives one row, repeated rows and null ids included (rows are told apart by an
   internal row number, not by id);
 * a null repository counts as one repository of its own, and so does a null owner;
 * an empty table gives an empty result; other columns are ignored, whatever their names.
@@ -68,14 +70,15 @@ def _matches(text: Column, rank: int) -> Column:
     return F.when(text.rlike(test), rows).otherwise(empty)
 
 
-def candidates(docs: DataFrame, doc_id: str, text: str, repo: str, owner: str) -> DataFrame:
+def candidates(docs: DataFrame, doc_id: str, text: str, repo: str | Column, owner: str | Column) -> DataFrame:
     """One row per document with its raw matches; the only pass over the texts."""
     body = text_or_empty(text)
+    named = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
     return docs.select(
         F.col(doc_id).alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),
-        F.coalesce(F.col(repo).cast("string"), F.lit("")).alias("repo"),
-        F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
+        named(repo).alias("repo"),
+        named(owner).alias("owner"),
         F.concat(*[_matches(body, k) for k in range(len(KINDS))]).alias("found"),
     )
 
@@ -113,7 +116,13 @@ def ownership(spans: DataFrame) -> DataFrame:
 
 
 def scan_secrets(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str = "source", owner: str = "source", example_owners: int = 3
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    repo: str | Column = "source",
+    owner: str | Column = "source",
+    example_owners: int = 3,
+    example_repos: int = 4,
 ) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_live, n_example, findings.
 
@@ -131,13 +140,13 @@ def scan_secrets(
         F.lower(F.hex("hash")).alias("secret_sha256"),
         "n_repos",
         "n_owners",
-        F.when(F.col("n_owners") >= example_owners, "example").otherwise("live").alias("verdict"),
+        F.when((F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos), "example").otherwise("live").alias("verdict"),
     )
     per_doc = known.groupBy("row").agg(F.sort_array(F.collect_list(item)).alias("all"))
     base = F.filter("all", lambda x: x["rank"] < BASE)
     per_doc = per_doc.withColumn("base", base)
     clash = lambda x: F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    per_doc = per_doc.withColumn("findings", F.filter("all", lambda x: (x["rank"] < BASE) | ((x["n_owners"] == 1) & ~clash(x))))
+    per_doc = per_doc.withColumn("findings", F.filter("all", lambda x: (x["rank"] < BASE) | ((x["n_owners"] == 1) & (x["verdict"] == "live") & ~clash(x))))
     listed = lambda c: F.array_join(
         F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ","
     )
