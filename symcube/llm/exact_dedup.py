@@ -5,7 +5,9 @@ slim record (row number, id, length, SHA-256 of the normalised text), written on
 style frequent-items sketch (Spark's ``approx_top_k``) over the digests names every digest that holds
 more than a fixed share of the rows; their exact counts and winners are computed with map-side
 partial aggregation, and the at most ``heavy`` winners are broadcast, so rows of large groups are
-decided without a shuffle.  All other rows go through one ordinary shuffle of slim records.
+decided without a shuffle.  All other rows are shuffled in slim form: winners again by partial aggregation, and a
+join with the digests that occur repeatedly, whose large partitions adaptive execution can split.  No group is
+ever gathered in one task, however frequent a digest is that the sketch did not name.
 
 Defined results
 ---------------
@@ -18,7 +20,6 @@ Defined results
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from symcube.llm.common import WHITE, materialize, text_or_empty
@@ -37,8 +38,11 @@ def _slim(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _order() -> list:
-    return [F.col("chars").desc(), F.col("doc_id").asc_nulls_last(), F.col("row").asc()]
+def _winners(slim: DataFrame) -> DataFrame:
+    """digest, win_row, keep_id, size of every digest."""
+    best = F.min(F.struct((-F.col("chars")).alias("c"), F.col("doc_id").isNull().alias("n"), "doc_id", "row"))
+    groups = slim.groupBy("digest").agg(best.alias("best"), F.count("*").alias("size"))
+    return groups.select("digest", F.col("best.row").alias("win_row"), F.col("best.doc_id").alias("keep_id"), "size")
 
 
 def heavy_digests(slim: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
@@ -56,14 +60,7 @@ def heavy_digests(slim: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -
         )
     # the sketch's hashes are verified here: exact digests, exact counts
     picked = slim.where(F.xxhash64("digest").isin(hashes))
-    best = F.min_by(F.struct("row", "doc_id"), F.struct((-F.col("chars")).alias("c"), F.col("doc_id").isNull().alias("n"), "doc_id", "row"))
-    return (
-        picked.groupBy("digest")
-        .agg(best.alias("best"), F.count("*").alias("size"))
-        .select("digest", F.col("best.row").alias("win_row"), F.col("best.doc_id").alias("keep_id"), "size")
-        .orderBy(F.desc("size"), "digest")
-        .limit(heavy)
-    )
+    return _winners(picked).orderBy(F.desc("size"), "digest").limit(heavy)
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
@@ -71,15 +68,16 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hea
     slim = materialize(_slim(docs, doc_id, text), "digests")
     winners = materialize(heavy_digests(slim, heavy, tracked), "winners")  # at most `heavy` rows
     large = slim.join(F.broadcast(winners), "digest").select("doc_id", "row", "digest", "win_row", "keep_id", "size")
-    group = W.partitionBy("digest")
-    ranked = group.orderBy(*_order()).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    small = slim.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select(
+    rest = slim.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    repeated = _winners(rest).where("size > 1").withColumnsRenamed({"digest": "_digest", "keep_id": "_keep_id"})
+    single = F.col("size").isNull()
+    small = rest.join(repeated, rest["digest"] == repeated["_digest"], "left").select(
         "doc_id",
         "row",
         "digest",
-        F.first("row").over(ranked).alias("win_row"),
-        F.first("doc_id").over(ranked).alias("keep_id"),
-        F.count("*").over(ranked).alias("size"),
+        F.coalesce("win_row", "row").alias("win_row"),
+        F.when(single, F.col("doc_id")).otherwise(F.col("_keep_id")).alias("keep_id"),
+        F.coalesce("size", F.lit(1)).alias("size"),
     )
     return large.unionByName(small).select(
         "doc_id",
@@ -93,20 +91,24 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hea
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Dropped rows are matched by (id, digest); their list is broadcast up to ``broadcast_rows``, else
-    joined.  Where the winner's own id and text occur in several rows, those few are reduced to one.
+    Dropped rows are matched by (id, digest).  Their list is broadcast up to ``broadcast_rows`` rows; beyond, an
+    ordinary join gives the same rows.  Where the winner's own id and text occur in several rows, those are
+    reduced to the longest text, then the smallest text, by partial aggregation.
     """
-    names = docs.columns
+    names = [f"`{c}`" for c in docs.columns]
     verdict = exact_dedup(docs, doc_id, text)
     per = verdict.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("NOT kept OR n > 1")
-    per = materialize(per, "dropped").select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_sha"), F.col("kept").alias("__gone_again"))
+    per = materialize(per, "dropped").select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha"), F.col("kept").alias("again"))
     few = per.count() <= broadcast_rows
-    tagged = docs.withColumn("__digest", F.sha2(F.translate(text_or_empty(text), WHITE, "").cast("binary"), 256))
-    on = [F.col("__gone_id").eqNullSafe(F.col(doc_id)), F.col("__gone_sha") == F.col("__digest")]
-    once = tagged.join(F.broadcast(per) if few else per, on, "left_anti").select(*names)
-    repeated = per.where("__gone_again")
+    # the input's columns travel as one struct, so their names cannot clash
+    tagged = docs.select(
+        F.struct(*names).alias("whole"), F.col(doc_id).alias("id"), text_or_empty(text).alias("body"), F.sha2(F.translate(text_or_empty(text), WHITE, "").cast("binary"), 256).alias("sha")
+    )
+    on = lambda gone: [gone["gone_id"].eqNullSafe(tagged["id"]), gone["gone_sha"] == tagged["sha"]]
+    once = tagged.join(F.broadcast(per) if few else per, on(per), "left_anti").select("whole.*")
+    repeated = per.where("again")
     if repeated.isEmpty():
         return once
-    order = W.partitionBy(doc_id, "__digest").orderBy(F.char_length(text_or_empty(text)).desc())
-    again = tagged.join(repeated, on, "left_semi").withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
-    return once.unionByName(again.select(*names))
+    again = tagged.join(F.broadcast(repeated) if few else repeated, on(repeated), "left_semi")
+    longest = F.min_by("whole", F.struct((-F.char_length("body")).alias("n"), "body"))
+    return once.unionByName(again.groupBy("id", "sha").agg(longest.alias("whole")).select("whole.*"))
