@@ -9,14 +9,18 @@ with probability below 1e-4).  Each candidate pair is then verified by exact con
 shingle set in the whole document's.
 
 Words are runs of characters other than ASCII white space and punctuation, A-Z lower-cased; a shingle
-is five words.  The index of the items is broadcast; when the items exceed ``index_shingles``, they are
-searched in several passes of at most that many shingles each, so the broadcast never grows beyond it.
+is five words.  The items are cut into portions of about ``index_shingles`` shingles by their row number, and
+each portion is a pass of its own: its shingle sets (eight bytes a shingle) are broadcast, every Python worker
+builds the index from them, and the broadcast is destroyed before the next portion.  Neither the driver nor
+a worker ever holds more than one portion.  With one portion the documents are filtered in the scan's own
+stage; with several, every pass but the last writes what it leaves to the shared folder.
 
 Defined results
 ---------------
 * an item of fewer than five words is one shingle of all its words; items without words or with null
   text are found nowhere; null and empty documents contain nothing;
 * repeated items and repeated documents give a row for each pairing; null ids are carried as null;
+* ids are integers, decimals, strings or dates (others: TypeError before any job);
 * an empty table on either side gives an empty result; other columns are ignored, whatever their names.
 """
 
@@ -32,8 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import sliced
-from symcube.llm.packing import _arrow
+from symcube.llm.common import Workspace, id_type, release_memory, sliced
 
 SHINGLE, THRESHOLD, HASHES = 5, 0.8, 32
 _SPLIT = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
@@ -143,26 +146,54 @@ class Index:
                 yield d, i, len(self.sets[i]), found
 
 
-def indexes(items: DataFrame, item_id: str, text: str, limit: int, hashes: int = HASHES) -> Iterator[list[Index]]:
-    """Indexes of all items, each list holding at most ``limit`` shingles (or one item)."""
-    by_k: dict[int, Index] = {}
-    size = 0
-    for row in items.select(F.col(item_id).alias("i"), F.col(text).cast("string").alias("t")).toLocalIterator():
-        words = words_of(row.t)
-        if not words:
-            continue
-        k = min(SHINGLE, len(words))
-        values, _ = shingles(*word_hashes([words]), k)
-        values = np.unique(values)
-        if size and size + len(values) > limit:
-            yield [x.build(hashes) for x in by_k.values()]
-            by_k, size = {}, 0
-        index = by_k.setdefault(k, Index(k))
-        index.ids.append(row.i)
-        index.sets.append(values)
-        size += len(values)
-    if by_k:
-        yield [x.build(hashes) for x in by_k.values()]
+@dataclass
+class Portion:
+    """Shingle sets of some items; the index is built where it is used, once per Python worker."""
+
+    ids: list
+    ks: list[int]
+    sets: list[bytes]
+    built: list[Index] | None = None
+
+    def indexes(self, hashes: int = HASHES) -> list[Index]:
+        if self.built is None:
+            by_k: dict[int, Index] = {}
+            for i, k, data in zip(self.ids, self.ks, self.sets, strict=True):
+                index = by_k.setdefault(k, Index(k))
+                index.ids.append(i)
+                index.sets.append(np.frombuffer(data, np.uint64))
+            self.built = [x.build(hashes) for x in by_k.values()]
+        return self.built
+
+
+def item_sets(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """item_id, row, k (words of a shingle), n, shingles (sorted 64-bit hashes) of every item with a word."""
+    kind, arrow = id_type(items, item_id)
+    fields = [("item_id", arrow), ("row", pa.int64()), ("k", pa.int32()), ("n", pa.int64()), ("shingles", pa.binary())]
+
+    def task(batches):
+        for batch in sliced(batches, 2):
+            rows = []
+            for i, row, body in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                if words := words_of(body):
+                    k = min(SHINGLE, len(words))
+                    values = np.unique(shingles(*word_hashes([words]), k)[0])
+                    rows.append((i, row, k, len(values), values.tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], schema=pa.schema(fields))
+
+    slim = items.select(F.col(item_id).alias("item_id"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").alias("text"))
+    return slim.mapInArrow(task, f"item_id {kind}, row long, k int, n long, shingles binary")
+
+
+def portions(items: DataFrame, item_id: str, text: str, limit: int, work: Workspace) -> Iterator[tuple[Portion, bool]]:
+    """(portion, whether it is the last), each of about ``limit`` shingles; items are dealt by a hash of their row number."""
+    sets = work.put(item_sets(items, item_id, text), "items")
+    total = sets.agg(F.sum("n").alias("n")).first()["n"] or 0
+    count = -(-total // limit)
+    for c in range(count):
+        rows = sets.where(F.pmod(F.xxhash64("row"), F.lit(count)) == c).select("item_id", "k", "shingles").toArrow()
+        yield Portion(*(rows.column(i).to_pylist() for i in range(3))), c == count - 1
 
 
 def _search(texts: list[str | None], index: list[Index], threshold: float) -> Iterator[tuple[int, object, int, int]]:
@@ -183,37 +214,50 @@ def find_leaks(
     index_shingles: int = 1 << 20,
 ) -> DataFrame:
     """One row per document and item inside it: doc_id, item_id, n_shingles, n_found, containment."""
-    spark = docs.sparkSession
+    spark, work = docs.sparkSession, Workspace(docs.sparkSession)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kinds = [slim.schema["doc_id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString()]
-    fields = [("doc_id", _arrow(kinds[0])), ("item_id", _arrow(kinds[1])), ("n_shingles", pa.int64()), ("n_found", pa.int64()), ("containment", pa.float64())]
-    shape = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_shingles long, n_found long, containment double"
+    (kind, arrow), (item_kind, item_arrow) = id_type(docs, doc_id), id_type(items, item_id)
+    fields = [("doc_id", arrow), ("item_id", item_arrow), ("n_shingles", pa.int64()), ("n_found", pa.int64()), ("containment", pa.float64())]
+    shape = f"doc_id {kind}, item_id {item_kind}, n_shingles long, n_found long, containment double"
     found = spark.createDataFrame([], shape)
-    for index in indexes(items, item_id, item_text, index_shingles):
-        sent = spark.sparkContext.broadcast(index)
+    for portion, _ in portions(items, item_id, item_text, index_shingles, work):
+        sent = spark.sparkContext.broadcast(portion)
 
         def task(batches, sent=sent):
             for batch in sliced(batches, 1):
                 keys = batch.column(0).to_pylist()
-                rows = [(keys[d], i, n, f, f / n) for d, i, n, f in _search(batch.column(1).to_pylist(), sent.value, threshold)]
+                rows = [(keys[d], i, n, f, f / n) for d, i, n, f in _search(batch.column(1).to_pylist(), sent.value.indexes(), threshold)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], schema=pa.schema(fields))
 
-        found = found.unionByName(slim.mapInArrow(task, shape))
+        found = found.unionByName(work.put(slim.mapInArrow(task, shape), "found"))
+        sent.destroy()
     return found
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, index_shingles: int = 1 << 20) -> DataFrame:
-    """The documents that contain no test item, with all their columns; no shuffle."""
-    at = docs.columns.index(text)
-    for index in indexes(items, item_id, item_text, index_shingles):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+def _clean(sent, threshold: float):
+    def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release_memory()
+        for column in columns:
+            keep = []
+            for part in sliced([pa.RecordBatch.from_arrays([column], names=["text"])], 0, keep_caches=True):
+                flags = np.ones(part.num_rows, bool)
+                flags[[d for d, *_ in _search(part.column(0).to_pylist(), sent.value.indexes(), threshold)]] = False
+                keep.append(flags)
+            yield pa.array(np.concatenate(keep) if keep else np.zeros(0, bool))
 
-        def task(batches, sent=sent):
-            for batch in sliced(batches, at):
-                keep = np.ones(batch.num_rows, bool)
-                keep[[d for d, *_ in _search(batch.column(at).to_pylist(), sent.value, threshold)]] = False
-                yield batch.filter(pa.array(keep))
+    return clean
 
-        docs = docs.mapInArrow(task, docs.schema)
+
+def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, index_shingles: int = 1 << 20) -> DataFrame:
+    """The documents that contain no test item, with all their columns; no shuffle."""
+    work = Workspace(docs.sparkSession)
+    for portion, last in portions(items, item_id, item_text, index_shingles, work):
+        sent = docs.sparkSession.sparkContext.broadcast(portion)
+
+        # only the texts go to Python; the rows stay where they are
+        docs = docs.where(F.arrow_udf(_clean(sent, threshold), "boolean")(F.col(text).cast("string")))
+        if not last:
+            docs = work.put(docs, "left")
+            sent.destroy()
     return docs
