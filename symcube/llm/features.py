@@ -93,25 +93,21 @@ def document_sums(
     return sums, counts
 
 
-def sampled_features(
-    text: str | None, seed: int, max_words: int, low: int, high: int, bits: int, whole: bool, extra: Callable | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct buckets, counts) of a training text; of a long text, of ``max_words`` random positions."""
-    words = (text or "").split()
-    if not words:
+def feature_counts(text: str | None, low: int, high: int, bits: int, whole: bool, extra: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct buckets, counts) of all features of a whole training text, slice by slice.
+
+    Counts are 32 bits wide, more than a text of Spark's largest size can fill; there are at most 2^bits of them.
+    """
+    total: np.ndarray | None = None
+    for words, index, docs in slices([text]):
+        if total is None:
+            total = np.zeros(1 << bits, np.int64)
+        buckets, owners = word_features(words, low, high, bits, whole)
+        total += np.bincount(buckets, np.bincount(index, minlength=len(words))[owners], 1 << bits).astype(np.int64)
+        if extra is not None:
+            bucket, numbers = extra(index, docs)
+            total[bucket] += len(numbers)
+    if total is None:
         return np.zeros(0, np.int32), np.zeros(0, np.int32)
-    rng = np.random.default_rng(seed)
-    vocab: dict[str, int] = {}
-    index = np.array([vocab.setdefault(w, len(vocab)) for w in words], np.int32)
-    pick = np.sort(rng.choice(len(words), max_words, replace=False)) if len(words) > max_words else np.arange(len(words))
-    kept, owner = np.unique(index[pick], return_inverse=True)
-    names = list(vocab)
-    buckets, owners = word_features([names[k] for k in kept], low, high, bits, whole)
-    weight = np.bincount(owner, minlength=len(kept))[owners]
-    if extra is not None:
-        bucket, numbers = extra(index, np.zeros(len(index), np.int32))
-        n = round(len(numbers) * len(pick) / len(words))
-        if n:
-            buckets, weight = np.append(buckets, np.int32(bucket)), np.append(weight, n)
-    found, at = np.unique(buckets, return_inverse=True)
-    return found.astype(np.int32), np.bincount(at, weight).astype(np.int32)
+    found = np.flatnonzero(total)
+    return found.astype(np.int32), total[found].astype(np.int32)

@@ -17,7 +17,6 @@ Defined results
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,9 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import held_out, sliced
-from symcube.llm.features import document_sums, sampled_features
-from symcube.llm.packing import _arrow
+from symcube.llm.common import held_out, id_type, sliced
+from symcube.llm.features import document_sums, feature_counts
 
 LOW, HIGH, BITS = 1, 3, 16
 _LETTER = regex.compile(r"\p{L}")
@@ -103,34 +101,37 @@ def train(names: list[str], examples: list[tuple[np.ndarray, np.ndarray, int]],
     for u, share, y in parts:
         right[y] += (share @ table[u] + bias) * code[y] > 0
         seen[y] += 1
+    if not (np.isfinite(table).all() and np.isfinite(bias).all()):
+        raise FloatingPointError("the training diverged")
     weight = (right + 1) / (seen[:, None] + 2)
     return Model(names, code, table, bias, weight / weight.sum(1, keepdims=True))
 
 
-def fit(docs: DataFrame, per_language: int = 1500, train_words: int = 200, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Train on about ``per_language`` documents of each language outside the held-out fold."""
+def fit(docs: DataFrame, per_language: int = 1500, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
+    """Train on about ``per_language`` documents of each language outside the held-out fold, on their whole texts."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(doc_id))
     known = known.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("y"))
     sizes = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}  # one row per language
     share = F.lit(0.0)
     for y, n in sizes.items():
         share = F.when(F.col("y") == y, F.lit(per_language / n)).otherwise(share)
-    picked = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
+    # a hash of id and text below the language's sampling share; the limit only meets rows that repeat thousands of times
+    picked = known.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share * (1 << 30))
 
     def task(batches):
         for batch in sliced(batches, 1):
             rows = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
-            found = [sampled_features(t.lower(), zlib.crc32(str(i).encode()), train_words, LOW, HIGH, BITS, False) for i, t, _ in rows]
+            found = [feature_counts(t.lower(), LOW, HIGH, BITS, False) for _, t, _ in rows]
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": pa.array([str(r[0]) for r in rows], pa.string()),
                     "y": pa.array([r[2] for r in rows], pa.string()),
                     "u": pa.array([u.tobytes() for u, _ in found], pa.binary()),
-                    "n": pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary()),
+                    "n": pa.array([n.tobytes() for _, n in found], pa.binary()),
                 }
             )
 
-    table = picked.mapInArrow(task, "id string, y string, u binary, n binary").toArrow()
+    table = picked.mapInArrow(task, "id string, y string, u binary, n binary").limit(2 * per_language * max(len(sizes), 1)).toArrow()
     rows = sorted(zip(*(table[c].to_pylist() for c in ("id", "y", "u", "n")), strict=True))
     names = sorted(sizes)
     return train(names, [(np.frombuffer(u, np.int32), np.frombuffer(n, np.int32), names.index(y)) for _, y, u, n in rows])
@@ -140,14 +141,14 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     """One row per input row: doc_id, held_out, lang_pred, score, ambiguous."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size per language
     slim = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).cast("string").alias("text"))
-    kind = slim.schema["doc_id"].dataType.simpleString()
+    kind, arrow = id_type(slim, "doc_id")
 
     def task(batches):
         for batch in sliced(batches, 2):
             found = sent.value.predict(batch.column(2).to_pylist(), margin)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).cast(_arrow(kind)),
+                    batch.column(0).cast(arrow),
                     batch.column(1),
                     pa.array([x[0] for x in found], pa.string()),
                     pa.array([x[1] for x in found], pa.float64()),

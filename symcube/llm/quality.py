@@ -3,8 +3,8 @@
 Every word, and every character n-gram of ``<word>``, owns a learned vector in a hashed table; a
 document is the average of its vectors, followed by a softmax.  A word that repeats the word before
 it adds one more learned vector.  Training is numpy stochastic gradient descent on the driver, over a
-bounded sample of labelled rows (``per_class`` expected documents of each label, ``train_words``
-random word positions of each).  Scoring reads whole texts: the softmax of an average is linear in the
+bounded sample of labelled rows (``per_class`` expected documents of each label, whose whole texts are read).
+Scoring reads whole texts: the softmax of an average is linear in the
 vectors, so each vector is folded to one number beforehand and documents are scored in one pass
 without a shuffle.
 
@@ -19,7 +19,7 @@ Defined results
 
 from __future__ import annotations
 
-import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import held_out, sliced
-from symcube.llm.features import document_sums, repeats, sampled_features
-from symcube.llm.packing import _arrow
+from symcube.llm.common import held_out, id_type, release_memory, sliced
+from symcube.llm.features import document_sums, feature_counts, repeats
 
 LOW, HIGH, BITS = 3, 4, 18
 REPEAT = 0  # the bucket of the repeated-word vector
@@ -80,11 +79,14 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 12, epo
             vectors[u] = rows - np.sqrt(share)[:, None] * (p @ out)
             out -= p[:, None] * mean
             bias -= p
-    return Model((vectors @ (out[1] - out[0])).astype(np.float32), float(bias[1] - bias[0]))
+    model = Model((vectors @ (out[1] - out[0])).astype(np.float32), float(bias[1] - bias[0]))
+    if not (np.isfinite(model.table).all() and np.isfinite(model.bias)):
+        raise FloatingPointError("the training diverged")
+    return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, train_words: int = 150, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """Train on a bounded sample of labelled documents outside the held-out fold."""
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
+    """Train on a sample of about ``per_class`` labelled documents of each class outside the held-out fold, on their whole texts."""
     known = labels.where(F.col(label).isNotNull() & ~held_out(doc_id)).groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("int").alias("y"))
     known = known.where("y IN (0, 1) AND id IS NOT NULL")
     sizes = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -98,7 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, train_words:
     def task(batches):
         for batch in sliced(batches, 1):
             rows = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
-            found = [sampled_features(t, zlib.crc32(str(i).encode()), train_words, LOW, HIGH, BITS, True, _extra) for i, t, _ in rows]
+            found = [feature_counts(t, LOW, HIGH, BITS, True, _extra) for _, t, _ in rows]
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": pa.array([str(r[0]) for r in rows], pa.string()),
@@ -108,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, train_words:
                 }
             )
 
-    table = texts.mapInArrow(task, "id string, y int, u binary, n binary").toArrow()
+    table = texts.mapInArrow(task, "id string, y int, u binary, n binary").limit(4 * per_class).toArrow()  # more only if ids repeat
     rows = sorted(zip(*(table[c].to_pylist() for c in ("id", "y", "u", "n")), strict=True))
     return train([(np.frombuffer(u, np.int32), np.frombuffer(n, np.int32), y) for _, y, u, n in rows])
 
@@ -117,13 +119,13 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """One row per input row: doc_id, held_out, score, predicted."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a fixed-size table
     slim = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).cast("string").alias("text"))
-    kind = slim.schema["doc_id"].dataType.simpleString()
+    kind, arrow = id_type(slim, "doc_id")
 
     def task(batches):
         for batch in sliced(batches, 2):
             found = sent.value.score(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(_arrow(kind)), batch.column(1), pa.array(found, pa.float64()), pa.array((found >= threshold).astype(np.int32), pa.int32())],
+                [batch.column(0).cast(arrow), batch.column(1), pa.array(found, pa.float64()), pa.array((found >= threshold).astype(np.int32), pa.int32())],
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
@@ -133,10 +135,13 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 def keep_good(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
     """The documents that the model does not reject, with all their columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text)
 
-    def task(batches):
-        for batch in sliced(batches, at):
-            yield batch.filter(pa.array(sent.value.score(batch.column(at).to_pylist()) >= threshold))
+    def good(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release_memory()
+        for column in columns:
+            parts = sliced([pa.RecordBatch.from_arrays([column], names=["text"])], 0, keep_caches=True)
+            found = [sent.value.score(part.column(0).to_pylist()) for part in parts]
+            yield pa.array(np.concatenate(found) >= threshold if found else np.zeros(0, bool))
 
-    return docs.mapInArrow(task, docs.schema)
+    # only the texts go to Python; the rows stay where they are
+    return docs.where(F.arrow_udf(good, "boolean")(F.col(text).cast("string")))
