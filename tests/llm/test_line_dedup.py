@@ -1,6 +1,10 @@
+import datetime
+import decimal
 import random
 
-from symcube.llm.line_dedup import blocks, dedup_lines, increasing
+import pytest
+
+from symcube.llm.line_dedup import align, dedup_lines, increasing, longest_run
 
 SCHEMA = "doc_id long, text string, tag string, line int, cut int"
 
@@ -22,82 +26,49 @@ def test_increasing():
         assert all(values[a] < values[b] for a, b in zip(got, got[1:], strict=False))
 
 
-def line(i, words=6):
-    return " ".join(f"l{i}w{j}" for j in range(words))
-
-
-def naive(rows, rare_df=64, min_words=10, passage_words=20):
-    """Kept text per (id, text), going through the documents one after the other."""
-    distinct = sorted({(i is None, i or 0, t) for i, t in rows if t is not None})
-    lines = {d: [x.strip() for x in d[2].split("\n")] for d in distinct}
-    frequency = {}
-    for i, t in rows:
-        if t is not None:
-            for x in {x.strip() for x in t.split("\n")}:
-                frequency[x] = frequency.get(x, 0) + 1
-    holder, out = {}, {}
-    for d in distinct:
-        for x in lines[d]:
-            if x:
-                holder.setdefault(x, d)
-    for d in distinct:
-        drop = set()
-        for source in {holder[x] for x in lines[d] if x} - {d}:
-            shared = []
-            for x in dict.fromkeys(lines[d]):
-                if x and holder[x] == source:
-                    unique = lines[d].count(x) == 1 and lines[source].count(x) == 1
-                    shared.append((lines[d].index(x), lines[source].index(x), len(x.split()), unique, frequency[x] <= rare_df))
-            for a, b, _ in blocks(sorted(shared), min_words, passage_words):
-                drop |= set(range(a, b + 1))
-        out[d] = ("\n".join(x for i, x in enumerate(d[2].split("\n")) if i not in drop), len(drop))
-    return out
+def test_longest_run_and_align():
+    rng = random.Random(1)
+    for _ in range(400):
+        a, b = ([rng.randrange(5) for _ in range(rng.randrange(1, 14))] for _ in range(2))
+        i, j, n = longest_run(a, b)
+        best = max((k for x in range(len(a)) for y in range(len(b)) for k in range(min(len(a) - x, len(b) - y) + 1) if a[x : x + k] == b[y : y + k]), default=0)
+        assert n == best and a[i : i + n] == b[j : j + n]
+        pairs = align(a, b)
+        assert all(a[x] == b[y] for x, y in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+    texts = ["".join(rng.sample("abcdefghij", rng.randrange(1, 10))) for _ in range(60)]
+    for x, y in zip(texts, texts[1:], strict=False):  # no repeats: the textbook form gives the same pairs
+        assert align([*map(ord, x)], [*map(ord, y)]) == sorted(textbook(list(x), list(y)))
+    assert align([1, 2, 3], [1, 2, 3], 0) == [(0, 0), (1, 1), (2, 2)] and align([1, 1, 2, 2], [2, 1, 2, 1], 0) == []
+
+
+def textbook(a, b, i=0, j=0):
+    """Patience diff of lists without repeats: equal ends, then the longest increasing sequence of common items, and the gaps."""
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    if n:
+        return [(i + k, j + k) for k in range(n)] + textbook(a[n:], b[n:], i + n, j + n)
+    while n < min(len(a), len(b)) and a[-1 - n] == b[-1 - n]:
+        n += 1
+    if n:
+        return textbook(a[:-n], b[:-n], i, j) + [(i + len(a) - k, j + len(b) - k) for k in range(n, 0, -1)]
+    once = [(x, b.index(v)) for x, v in enumerate(a) if v in b]
+    best = [once[k] for k in increasing([y for _, y in once])]
+    out, p, q = [], 0, 0
+    for x, y in best:
+        out += [*textbook(a[p:x], b[q:y], i + p, j + q), (i + x, j + y)]
+        p, q = x + 1, y + 1
+    return out + (textbook(a[p:], b[q:], i + p, j + q) if best else [])
 
 
-def corpus(seed, n=60):
-    rng = random.Random(seed)
-    docs = []
-    for i in range(n):
-        own = [line(1000 * i + j, rng.choice([1, 3, 8, 25])) for j in range(rng.randrange(8))]
-        if docs and rng.random() < 0.7:
-            other = rng.choice(docs).split("\n")
-            a = rng.randrange(len(other))
-            own[rng.randrange(len(own) + 1) : 0] = other[a : a + rng.randrange(1, 6)]
-        if rng.random() < 0.5:
-            own.insert(rng.randrange(len(own) + 1), "all rights reserved")
-        if rng.random() < 0.2:
-            own.append("")
-        docs.append("\n".join(own))
-    rows = [(rng.randrange(500), t) for t in docs]
-    return rows + [rows[3], rows[3], (None, docs[5]), (None, docs[5]), (7, None), (8, ""), (9, "\n\n"), (600, "x " * 40_000 + "\n" + docs[4])]
+def line(i, words=6):
+    return " ".join(f"l{i}w{j}" for j in range(words))
 
 
 def frame(spark, rows):
     return spark.createDataFrame([(i, t, "a", 1, 2) for i, t in rows], SCHEMA)
 
 
-def test_matches_naive(spark):
-    for seed in range(2):
-        rows = corpus(seed)
-        for how in ({}, {"rare_df": 2, "min_words": 4, "passage_words": 12}):
-            got = dedup_lines(frame(spark, rows).repartition(3), **how).collect()
-            want = naive(rows, **how)
-            # the order of equal ids is that of a hash, so only ids with one text are compared
-            single = {i for i, _ in rows if len({t for j, t in rows if j == i}) == 1}
-            ties = {i for i, _ in rows} - single
-            assert len(got) == len(rows)
-            mismatched = 0
-            for r in got:
-                texts = [t for i, t in rows if i == r.doc_id and t is not None]
-                if not texts:
-                    assert r.text is None and r.n_lines == r.n_deleted == 0
-                elif r.doc_id in single:
-                    text, gone = want[r.doc_id is None, r.doc_id or 0, texts[0]]
-                    mismatched += (r.text, r.n_deleted) != (text, gone)
-                    assert r.n_lines == len(texts[0].split("\n"))
-            assert mismatched == 0 or ties
-
-
 def test_long_passages_go_and_boilerplate_stays(spark):
     passage = line(5, 60)
     rows = [(i, f"{line(10 * i)}\n{passage}\n{line(10 * i + 1)}\nshort boilerplate line here") for i in range(100)]
@@ -236,3 +207,40 @@ def test_blank_lines_break_no_block(spark):
         between = {i for k in gone if k + 1 in gone for i in range(at[k], at[k + 1])}
         want.append(between | {at[k] for k in gone})
     assert deleted(spark, ["\n".join(t) for t in docs]) == want
+
+
+def test_block_with_and_without_boilerplate_in_an_earlier_document(spark):
+    mid = line(1, 5)
+    body = [line(0, 8), mid, line(2, 8)]
+    b, c = "\n".join([line(10), *body, line(11)]), "\n".join([line(20), *body, line(21)])
+    assert deleted(spark, [b, c]) == [set(), {1, 2, 3}]
+    assert deleted(spark, [mid, b, c]) == [set(), set(), {1, 2, 3}]
+
+
+def test_hot_partner_and_crossing_blocks(spark):
+    x, y = "\n".join(line(i, 9) for i in range(4)), "\n".join(line(i, 9) for i in range(10, 13))
+    docs = [f"{x}\n{y}"] + [f"{line(100 + i)}\n{y}\n{line(200 + i)}\n{x}" for i in range(90)]
+    want = [set()] + [{1, 2, 3, 5, 6, 7, 8}] * 90
+    assert deleted(spark, docs, portion=7) == want == deleted(spark, docs, bloom_bytes=1)
+
+
+def test_rows_of_every_kind(spark):
+    text = "\n".join(line(i, 9) for i in range(3))
+    long = "\n".join(line(i, 20) for i in range(1500)) + "\n" + "x " * 40_000
+    rows = [(5, text), (7, text), (7, text), (7, None), (8, ""), (9, "\n\n"), (None, text), (None, None), (1, long), (2, f"{line(9999)}\n{long}"), (3, "a\n" * 20_000), (4, "a\n" * 20_000)]
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.text, r.n_lines, r.n_deleted) for r in dedup_lines(frame(spark, rows).repartition(4)).collect()), key=str)
+    # lines of the text stand in the long one too, but with other words; ids decide who is earlier, null comes last
+    assert [(i, d) for n, i, t, _, d in got if not n] == [(1, 0), (2, 1501), (3, 0), (4, 20_000), (5, 0), (7, 3), (7, 3), (7, 0), (8, 0), (9, 0)]
+    assert sorted(d for n, _, _, _, d in got if n) == [0, 3] and len(got) == len(rows)
+
+
+@pytest.mark.parametrize(("kind", "ids"), [("decimal(20,0)", [decimal.Decimal(1), decimal.Decimal(2)]), ("tinyint", [1, 2]), ("string", ["a", "b"]), ("date", [datetime.date(2020, 1, 1), datetime.date(2020, 1, 2)])])
+def test_types_of_ids(spark, kind, ids):
+    got = dedup_lines(spark.createDataFrame([(i, line(1, 30)) for i in ids], f"doc_id {kind}, text string"))
+    assert got.schema["doc_id"].dataType.simpleString() == kind
+    assert sorted((r.doc_id, r.n_deleted, r.from_ids) for r in got.collect()) == [(ids[0], 0, None), (ids[1], 1, [ids[0]])]
+
+
+def test_other_types_of_ids_are_refused(spark):
+    with pytest.raises(TypeError):
+        dedup_lines(spark.createDataFrame([(1.5, "a")], "doc_id double, text string"))
