@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import count
 
 #: The symbol kinds, the value fields, and the limits of a symbol.
 KINDS = ("Set", "Parameter", "Variable", "Equation", "Alias")
@@ -28,26 +29,32 @@ def stored_field(kind: str, value_field: str | None = None) -> str:
 
 
 def key_names(domains: Iterable[str], reserved: Iterable[str] = ()) -> list[str]:
-    """A distinct name per dimension.
+    """A distinct name per dimension, none of them reserved.
 
-    A dimension is called as its domain, or ``dim_<i>`` for the universe.  While a name is taken, by an
-    earlier dimension or a reserved column, ``_<i>`` is added.  A domain that occurs repeatedly among
-    the dimensions and is reserved thus gets its own number each time.
+    A dimension's stem is its domain, or ``dim_<i>`` without one.  It is followed by as many repeats of
+    ``_<i>`` as make the name differ from the reserved names and those of earlier dimensions.
     """
-    taken, out = set(reserved), []
-    for position, domain in enumerate(domains):
-        name = domain if domain and domain != UNIVERSE else f"dim_{position}"
-        while name in taken:
-            name = f"{name}_{position}"
-        taken.add(name)
-        out.append(name)
-    return out
-
-
-def check_names(keys: list[str], value: str) -> None:
-    """Reject explicit key names that collide with each other or with the value column."""
-    seen: set[str] = {value}
-    for name in keys:
-        if name in seen:
-            raise ValueError(f"column name {name!r} is used twice")
-        seen.add(name)
+    blocked, names = frozenset(reserved), []
+    for i, domain in enumerate(domains):
+        stem = f"dim_{i}" if domain in ("", UNIVERSE) else domain
+        spellings = (stem + f"_{i}" * n for n in count())
+        names.append(next(s for s in spellings if s not in blocked and s not in names))
+    return names
+
+
+def check_names(keys: list[str], value: str, case_sensitive: bool = True) -> None:
+    """Refuse names that a DataFrame of the session could not tell apart."""
+    every = [*keys, value]
+    for n, name in enumerate(every):
+        if name in every[:n]:
+            raise ValueError(f"column {name!r} occurs twice among {', '.join(every)}")
+        if not case_sensitive and name.lower() in [x.lower() for x in every[:n]]:
+            raise ValueError(f"column {name!r} differs from another in case only; give other names as keys, or set spark.sql.caseSensitive")
+
+
+def hidden_names(count_: int, visible: Iterable[str]) -> tuple[list[str], str]:
+    """Names of the label numbers and of the record's place that no visible column has, in any case."""
+    taken, mark = {v.lower() for v in visible}, "_"
+    while any(f"{mark}{x}" in taken for x in [*(f"u{i}" for i in range(count_)), "at"]):
+        mark += "_"
+    return [f"{mark}u{i}" for i in range(count_)], f"{mark}at"

@@ -55,7 +55,7 @@ ORACLES: dict[str, str] = {
     "q09_ordinal_predicate": f'{_BAL_U} SELECT segment, customer, "value" FROM bal WHERE u1 % 2 = 0',
     "q10_head": f'{_BAL_U} SELECT segment, customer, "value", u0, u1, CAST(row_number() OVER (ORDER BY u0, u1) AS INTEGER) AS place FROM bal QUALIFY place <= 10',
     "q11_ordinal_range": f'{_BAL_U}, r AS (SELECT *, dense_rank() OVER (ORDER BY u0) AS n FROM bal) SELECT segment, customer, "value", u0, u1 FROM r WHERE n IN (2, 3)',
-    "q12_write_read": "SELECT count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,4))) AS DOUBLE) AS total FROM customer",
+    "q12_write_read": "SELECT count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,4))) AS DOUBLE) AS total, 1 AS refused FROM customer",
     "q13_projection": "SELECT c_name AS customer FROM customer",
     "q14_value_field": f"""SELECT 'o' || l_orderkey AS "order", 'p' || l_partkey AS part, 's' || l_suppkey AS supp, 'l' || l_linenumber AS line,
         strftime(l_shipdate, '%Y-%m-%d') AS day, l_extendedprice AS marginal FROM lineitem""",
@@ -91,5 +91,16 @@ ORACLES: dict[str, str] = {
     "q34_distinct": """SELECT DISTINCT 'o' || l_orderkey AS "order", 'p' || l_partkey AS part FROM lineitem""",
     "q35_count_distinct": "SELECT 's' || l_suppkey AS supp, count(DISTINCT l_orderkey) AS n_orders FROM lineitem GROUP BY 1",
     "q36_scalar": 'SELECT CAST(count(*) AS DOUBLE) AS "value" FROM lineitem',
+    "q38_low_level": """SELECT (SELECT count(*) FROM lineitem) AS n, (SELECT CAST(sum(CAST(l_tax AS DECIMAL(18,4))) AS DOUBLE) FROM lineitem) AS upper,
+        (SELECT count(*) FROM part) AS n_price, 0.0::DOUBLE AS marginal""",
+    "q39_restart_points": f"{_BAL_U}, r AS (SELECT u0, row_number() OVER (ORDER BY u0, u1) - 1 AS record FROM bal) SELECT u0, min(record) AS record FROM r GROUP BY u0",
+    "q40_long_list": f"""SELECT * FROM ({_EV}) WHERE CAST(substr("user", 2) AS BIGINT) % 2 = 0 AND CAST(substr("user", 2) AS BIGINT) < 200000""",
+    "q41_key_conjunction": f"""SELECT * FROM ({_SHIP}) WHERE supp = 's7' AND line IN ('l1', 'l2') AND level > 10""",
+    "q42_typed_order": "SELECT CAST(row_number() OVER (ORDER BY c_acctbal, c_custkey) AS INTEGER) AS uel, c_name AS label FROM customer",
+    "q43_five_domains": f"""WITH {_LABELS},
+        d AS (SELECT DISTINCT unnest(['o' || l_orderkey, 'p' || l_partkey, 's' || l_suppkey, 'l' || l_linenumber, strftime(l_shipdate, '%Y-%m-%d')]) AS label, unnest([0, 1, 2, 3, 4]) AS d FROM lineitem),
+        n AS (SELECT d, d.label, row_number() OVER (PARTITION BY d ORDER BY uel) AS n FROM d JOIN u ON u.label = d.label)
+        SELECT CAST(n AS INTEGER) AS place, max(label) FILTER (d = 0) AS "order", max(label) FILTER (d = 1) AS part, max(label) FILTER (d = 2) AS supp,
+               max(label) FILTER (d = 3) AS line, max(label) FILTER (d = 4) AS day FROM n GROUP BY n""",
     "q37_set": 'SELECT n_name AS nation, r_name AS region, 0.0::DOUBLE AS "value" FROM nation JOIN region ON n_regionkey = r_regionkey',
 }

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from symcube.functions.ordinals import scratch
+from symcube.functions.storage import scratch
 from symcube.functions.special import Sentinels, map_special
-from symcube.operators import domain_elements, list_symbols, read_domains, scan_symbol
+from symcube.operators import domain_elements, list_symbols, read_domains, read_slot, scan_symbol
 from symcube.operators.scan import SymbolScan
 from symcube.plans.tables import bundle
-from symcube.sources import BundleWriter
+from symcube.sources import Bundle, BundleWriter
+from symcube.sources.errors import InvalidWriteInputError
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,13 +86,19 @@ def q11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A symbol is written and read back; one with repeated keys is refused, and the writer goes on."""
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    refused = 0
     with BundleWriter.create(spark, scratch(spark, "written"), producer="q12", compression="snappy") as w:
         w.write_symbol("bal", customer, ["c_mktsegment", "c_name"], {"level": "c_acctbal"}, domains=["segment", "customer"], order=["c_custkey"])
-        w.write_symbol("bad_is_refused", customer.limit(0), ["c_name"], order=["c_custkey"])
+        try:
+            w.write_symbol("repeated", customer, ["c_mktsegment"], order=["c_acctbal"])
+        except InvalidWriteInputError:
+            refused = 1
+        w.write_symbol("by_balance", customer, ["c_name"], order=["c_acctbal", "c_custkey"])
         path = w.path
     back = scan_symbol(path, "bal", spark=spark).df()
-    return back.agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("total"))
+    return back.agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("total"), F.lit(refused).alias("refused"))
 
 
 def q13(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +156,7 @@ def q21(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q22(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scan("bal")(spark, sf_dir).where_keys({"segment": ["BUILDING", "MACHINERY", "nowhere", None]}).df()
+    return _scan("bal")(spark, sf_dir).filter(F.col("segment").isin("BUILDING", "MACHINERY", "nowhere", None)).df()
 
 
 def q23(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +204,7 @@ def q31(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _of_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scan("ship", key_filter={2: ["s1"]})(spark, sf_dir).select("order").withColumnRenamed("order", "order")
+    return _scan("ship", key_filter={2: ["s1"]})(spark, sf_dir).select("order")
 
 
 def q32_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +235,42 @@ def q37_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scan("nation")(spark, sf_dir).df()
 
 
+def q38(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The low-level read: a tolerant spelling of the value field, whose slot is shown whatever the kind."""
+    ship = read_slot(bundle(spark, sf_dir), "ship", value_field="UPPER").select("order", "part", "supp", "line", "day", "upper")
+    price = read_slot(bundle(spark, sf_dir), "price", keys=["brand", "part"], value_field="Marginal").df()
+    return ship.agg(F.count("*").alias("n"), F.sum(F.col("upper").cast("decimal(18,4)")).cast("double").alias("upper")).join(
+        price.agg(F.count("*").alias("n_price"), F.max("value").alias("marginal"))  # one row each
+    )
+
+
+def q39(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bundle(spark, sf_dir).restart_points("bal")
+
+
+def q40(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """100,000 scattered labels, most of them unknown."""
+    return _scan("ev", key_filter={1: [f"u{i}" for i in range(0, 200_000, 2)]})(spark, sf_dir).df()
+
+
+def q41(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of a conjunction that compare keys with labels, in either order, beside another condition."""
+    return _scan("ship")(spark, sf_dir).filter("'s7' = supp AND line IN ('l1', 'l2', 'no such line') AND level > 10").df()
+
+
+def q42(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels in the order of a column of doubles."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    with BundleWriter.create(spark, scratch(spark, "typed"), producer="q42") as w:
+        w.write_symbol("s", customer, ["c_name"], {"level": "c_acctbal"}, order=["c_acctbal", "c_custkey"])
+        path = w.path
+    return Bundle(spark, path).uels()
+
+
+def q43(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_domains(bundle(spark, sf_dir), "ship", ordinal="place")
+
+
 QUERIES: dict[str, Query] = {
     "q01_scan": q01,
     "q02_catalog": q02,
@@ -268,4 +311,10 @@ QUERIES: dict[str, Query] = {
     "q35_count_distinct": q35,
     "q36_scalar": q36_scalar,
     "q37_set": q37_sets,
+    "q38_low_level": q38,
+    "q39_restart_points": q39,
+    "q40_long_list": q40,
+    "q41_key_conjunction": q41,
+    "q42_typed_order": q42,
+    "q43_five_domains": q43,
 }

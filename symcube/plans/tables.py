@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symcube.functions.ordinals import scratch
+from symcube.functions.storage import scratch
 from symcube.sources import Bundle, BundleWriter
 
 _BUNDLES: dict[tuple[str, str], str] = {}

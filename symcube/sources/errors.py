@@ -31,3 +31,7 @@ class SymbolNotFoundError(BundleError, ValueError):
 
 class ClosedError(BundleError):
     """The bundle was closed."""
+
+
+class IntegrityError(BundleError):
+    """A symbol did not deliver the records that the catalog promises."""

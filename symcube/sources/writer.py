@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symcube.functions.naming import FIELDS, KINDS, MAX_DIM, MAX_LABEL_BYTES
-from symcube.functions.ordinals import number_rows, store
+from symcube.functions.ordinals import bases, number_rows, placed_by
 from symcube.functions.special import Sentinels, map_special
-from symcube.sources.bundle import CATALOG, UELS, Bundle
+from symcube.functions.storage import delete, folders, read_text, scratch, store, write_text
+from symcube.sources.bundle import PLACES, UELS, Bundle
 from symcube.sources.errors import CreateError, InvalidPathError, InvalidWriteInputError, OpenWriteError
 
+#: A dimension's labels are broadcast up to so many bytes; beyond, the records are joined with them by a shuffle.
+BROADCAST_BYTES = 32 << 20
+#: Symbols that are written at the same time.
+AT_ONCE = 4
+
 
 @dataclass
 class _Staged:
@@ -23,15 +32,16 @@ class _Staged:
     domains: list[str]
     text: str
     records: int
-    data: DataFrame  # k0.., the fields, and the order columns o0..
-    order: int
+    data: DataFrame  # written: k0.., the fields, and at, which ascends in the order of insertion
+    folder: str
 
 
 class BundleWriter:
     """Collects validated symbols and writes them at ``finish``, the catalog last.
 
     Labels are numbered from 1 by first appearance: symbol by symbol, record by record in the order
-    given, dimension by dimension.
+    given, dimension by dimension.  An older bundle at the path stays readable until ``finish`` has replaced its
+    catalog, and its tables are kept until the next bundle is written there.
     """
 
     def __init__(self, spark: SparkSession, path: str, producer: str = "symcube", compression: str = "zstd"):
@@ -53,6 +63,8 @@ class BundleWriter:
     def __exit__(self, kind, *_) -> None:
         if kind is None and not self.finished:
             self.finish()
+        elif kind is not None:
+            self._forget()
 
     def write_symbol(
         self,
@@ -67,10 +79,11 @@ class BundleWriter:
         order: list[str | Column] | None = None,
         sentinels: Sentinels | None = None,
     ) -> None:
-        """Validate all records of a symbol and stage it; after an error the writer is as before.
+        """Stage and validate all records of a symbol; after an error the writer is as before.
 
         ``keys`` are the key columns, ``values`` the columns of value fields (others are 0).
-        ``order`` gives the records' order of insertion, by default the keys.
+        ``order`` gives the records' order of insertion, by columns of any type that Spark sorts, ties by the
+        keys; by default it is the order of the keys.  The source is computed once.
         """
         dim = len(keys)
         if self.finished:
@@ -91,68 +104,100 @@ class BundleWriter:
         column = lambda c: F.col(c) if isinstance(c, str) else c
         value = lambda f: column(values[f]).cast("double") if f in values else F.lit(0.0)
         mapped = lambda f: map_special(value(f), sentinels) if sentinels and f in values else value(f)
-        sorting = order or list(keys)
+        labels = [f"k{i}" for i in range(dim)]
         data = records.select(
             *[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)],
             *[F.coalesce(mapped(f), F.lit(float("nan"))).alias(f) for f in FIELDS],
-            *[column(c).alias(f"o{i}") for i, c in enumerate(sorting)],
+            *[column(c).alias(f"o{i}") for i, c in enumerate(order or [])],
         )
-        labels = [F.col(f"k{i}") for i in range(dim)]
+        sorting = [*[f"o{i}" for i in range(len(order or []))], *labels]
+        data = placed_by(data, sorting, "at") if sorting else data.withColumn("at", F.monotonically_increasing_id())
+        folder = scratch(self.spark, "staged")
+        data = store(data.select(*labels, *FIELDS, "at"), folder)
+        try:
+            count = self._validate(name, data, labels)
+        except InvalidWriteInputError:
+            delete(self.spark, folder)
+            raise
+        self._staged.append(_Staged(name, kind, dim, subtype, list(domains or ["*"] * dim), text, count, data, folder))
+
+    def _validate(self, name: str, data: DataFrame, labels: list[str]) -> int:
+        """The number of records.  Only hashes of the keys are shuffled; keys themselves if two hashes are equal."""
         bad = F.lit(False)
         for k in labels:
-            bad = bad | k.isNull() | (F.octet_length(k) > MAX_LABEL_BYTES)
-        found = data.groupBy(*labels).agg(F.count("*").alias("n"), F.max(bad).alias("bad"))
+            bad = bad | F.col(k).isNull() | (F.octet_length(k) > MAX_LABEL_BYTES)
+        hashed = data.select((F.xxhash64(*labels) if labels else F.lit(0).cast("long")).alias("h"), bad.alias("bad"))
+        found = hashed.groupBy("h").agg(F.count("*").alias("n"), F.max("bad").alias("bad"))
         row = found.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max("bad").alias("bad")).first()
         if row.bad:
             raise InvalidWriteInputError(f"{name}: a key is null or longer than {MAX_LABEL_BYTES} bytes")
-        if (row.most or 0) > 1:
+        if (row.most or 0) > 1 and not data.groupBy(*labels).count().where("count > 1").isEmpty():
             raise InvalidWriteInputError(f"{name}: two records have the same keys")
-        self._staged.append(_Staged(name, kind, dim, subtype, list(domains or ["*"] * dim), text, row.n or 0, data, len(sorting)))
+        return row.n or 0
 
-    def _labels(self) -> DataFrame:
-        """uel, label of all staged symbols."""
-        width = max((s.order for s in self._staged), default=0)
-        parts = []
-        for number, s in enumerate(self._staged, 1):
-            if s.dim:
-                place = [F.col(f"o{i}").cast("string") if i < s.order and not _number(s, i) else F.lit(None).cast("string") for i in range(width)]
-                count = [F.col(f"o{i}").cast("long") if i < s.order and _number(s, i) else F.lit(None).cast("long") for i in range(width)]
-                order = F.struct(F.lit(number).alias("s"), *[c.alias(f"{n}{i}") for i in range(width) for n, c in (("n", count[i]), ("t", place[i]))])
-                each = F.explode(F.array(*[F.struct(F.col(f"k{d}").alias("label"), F.lit(d).alias("d")) for d in range(s.dim)]))
-                part = s.data.select(order.alias("at"), each.alias("e"))
-                parts.append(part.select(F.col("e.label").alias("label"), F.struct("at", F.col("e.d").alias("d")).alias("first")))
-        if not parts:
-            return self.spark.createDataFrame([], UELS)
-        all_of = parts[0]
-        for p in parts[1:]:
-            all_of = all_of.unionByName(p)
-        first = all_of.groupBy("label").agg(F.min("first").alias("first"))
-        return number_rows(first, ["first"], "uel").select(F.col("uel").cast("int"), "label")
+    def _firsts(self, number: int, s: _Staged) -> DataFrame:
+        """symbol, d, label, at: each dimension's distinct labels with their first record, by partial aggregation."""
+        each = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"k{d}").alias("label")) for d in range(s.dim)]))
+        rows = s.data.select("at", each.alias("e")).select("at", "e.*")
+        return rows.groupBy("d", "label").agg(F.min("at").alias("at")).select(F.lit(number).alias("symbol"), "d", "label", "at")
 
     def finish(self) -> Bundle:
-        """Write everything; the bundle becomes visible with its catalog, at the end."""
+        """Write everything into a new version folder; the bundle becomes visible with its catalog, at the end."""
         if self.finished:
             raise OpenWriteError("the bundle is finished")
-        how = {"mode": "overwrite", "compression": self.compression}
-        jvm = self.spark._jvm  # without its catalog an overwritten bundle is invisible until it is complete
-        old = jvm.org.apache.hadoop.fs.Path(f"{self.path}/symbols")
-        old.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
-        store(self._labels(), "labels").repartitionByRange("uel").sortWithinPartitions("uel").write.parquet(f"{self.path}/uels", **how)
-        uels = self.spark.read.schema(UELS).parquet(f"{self.path}/uels")
+        version = f"v-{uuid.uuid4().hex}"
+        root, how = f"{self.path}/{version}", {"compression": self.compression}
+        firsts = None
         for number, s in enumerate(self._staged, 1):
-            data = s.data
-            for i in range(s.dim):
-                data = data.join(uels.select(F.col("uel").alias(f"u{i}"), F.col("label").alias(f"k{i}")), f"k{i}")
+            if s.dim:
+                own = self._firsts(number, s)
+                firsts = own if firsts is None else firsts.unionByName(own)
+        used = scratch(self.spark, "firsts")
+        firsts = store(firsts if firsts is not None else self.spark.createDataFrame([], "symbol int, d int, label string, at long"), used)
+        first = firsts.groupBy("label").agg(F.min(F.struct("symbol", "at", "d")).alias("first"))
+        uels = store(number_rows(first, ["first"], "uel").select(F.col("uel").cast("int"), "label"), f"{root}/labels", **how)
+        by_label = uels.select("uel", "label").repartitionByRange("label").sortWithinPartitions("label")
+        # so many bytes of labels does each dimension have: one small row each
+        sizes = {(r.symbol, r.d): r.n for r in firsts.groupBy("symbol", "d").agg(F.sum(F.octet_length("label") + 16).alias("n")).collect()}
+
+        def write(number: int, s: _Staged) -> None:
+            data = s.data.drop("at")
+            for d in range(s.dim):
+                own = firsts.where((F.col("symbol") == number) & (F.col("d") == d)).select("label").join(uels, "label")
+                own = own.select(F.col("uel").alias(f"u{d}"), F.col("label").alias(f"k{d}"))
+                data = data.join(F.broadcast(own) if sizes.get((number, d), 0) <= BROADCAST_BYTES else own, f"k{d}")
             keys = [f"u{i}" for i in range(s.dim)]
             data = data.select(*keys, *[f"k{i}" for i in range(s.dim)], *FIELDS)
-            if keys:
-                data = data.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            data.write.parquet(f"{self.path}/data/{number}", **how)
-        rows = [(n, s.name, s.kind, s.dim, s.subtype, s.records, s.domains, s.text, self.producer) for n, s in enumerate(self._staged, 1)]
-        self.spark.createDataFrame(rows, CATALOG).coalesce(1).write.parquet(f"{self.path}/symbols", mode="overwrite")
+            data = placed_by(data, keys, "at") if keys else data.withColumn("at", F.monotonically_increasing_id())
+            data.write.parquet(f"{root}/data/{number}", **how)
+
+        with ThreadPoolExecutor(AT_ONCE) as pool:  # most symbols are small, so their jobs overlap
+            jobs = [pool.submit(write, n, s) for n, s in enumerate(self._staged, 1)]
+            jobs.append(pool.submit(lambda: by_label.write.parquet(f"{root}/by_label", **how)))
+            for job in jobs:
+                job.result()
+        places = self.spark.createDataFrame([], PLACES)
+        for number, s in enumerate(self._staged, 1):
+            stored = self.spark.read.schema("at long").parquet(f"{root}/data/{number}")
+            places = places.unionByName(bases(stored, "at").select(F.lit(number).alias("symbol"), "part", "base", "rows"))
+        places = store(places.coalesce(1).sortWithinPartitions("symbol", "base"), f"{root}/places")
+        heads = {r.symbol: r.rows for r in places.where("part = 0").collect()}  # one row per symbol
+        symbols = [
+            {"number": n, "name": s.name, "type": s.kind, "dim": s.dim, "subtype": s.subtype, "records": s.records, "domains": s.domains, "text": s.text, "first_rows": heads.get(n, 0)}
+            for n, s in enumerate(self._staged, 1)
+        ]
+        before = read_text(self.spark, f"{self.path}/catalog.json")
+        told = {"version": version, "producer": self.producer, "compression": self.compression, "symbols": symbols}
+        write_text(self.spark, f"{self.path}/catalog.json", json.dumps(told))
         self.finished = True
+        keep = {version, json.loads(before)["version"] if before else version}
+        for old in folders(self.spark, self.path):
+            if old.startswith("v-") and old not in keep:
+                delete(self.spark, f"{self.path}/{old}")
+        self._forget()
+        delete(self.spark, used)
         return Bundle(self.spark, self.path)
 
-
-def _number(s: _Staged, i: int) -> bool:
-    return s.data.schema[f"o{i}"].dataType.typeName() in ("byte", "short", "integer", "long")
+    def _forget(self) -> None:
+        for s in self._staged:
+            delete(self.spark, s.folder)

@@ -1,38 +1,40 @@
 import math
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from symcube.functions.special import Sentinels, map_special
-from symcube.operators import domain_elements, list_symbols, read_domains, read_symbol, scan_symbol
+from symcube.operators import domain_elements, list_symbols, read_domains, read_slot, read_symbol, scan_symbol
 from symcube.sources import Bundle, BundleWriter
-from symcube.sources.errors import ClosedError, InvalidPathError, InvalidWriteInputError, OpenReadError, OpenWriteError, SymbolNotFoundError
+from symcube.sources.errors import BundleError, ClosedError, IntegrityError, InvalidPathError, InvalidWriteInputError, OpenReadError, OpenWriteError, SymbolNotFoundError
 
-D = [("seattle", "new-york", 2.5), ("seattle", "chicago", 1.7), ("seattle", "topeka", 1.8), ("san-diego", "new-york", 2.5), ("san-diego", "chicago", 1.8), ("san-diego", "topeka", 1.4)]
-X = {("seattle", "new-york"): 50.0, ("seattle", "chicago"): 300.0, ("seattle", "topeka"): 0.0, ("san-diego", "new-york"): 275.0, ("san-diego", "chicago"): 0.0, ("san-diego", "topeka"): 275.0}
+D = [("brno", "graz", 4.0), ("brno", "porto", 3.25), ("brno", "split", 6.5), ("turku", "graz", 1.5), ("turku", "porto", 2.75), ("turku", "split", 5.0)]
+X = {("brno", "graz"): 12.0, ("brno", "porto"): 340.0, ("brno", "split"): 0.0, ("turku", "graz"): 95.0, ("turku", "porto"): 0.0, ("turku", "split"): 260.0}
 
 
 @pytest.fixture(scope="module")
 def bundle(spark, tmp_path_factory):
-    path = f"file://{tmp_path_factory.mktemp('bundles')}/transport"
+    path = f"file://{tmp_path_factory.mktemp('bundles')}/timber"
     rows = lambda data, names: spark.createDataFrame([(n, *r) for n, r in enumerate(data)], ["nr", *names])
     with BundleWriter.create(spark, path, producer="tests") as w:
-        w.write_symbol("i", rows([("seattle",), ("san-diego",)], ["k"]), ["k"], kind="Set", text="canning plants", order=["nr"])
-        w.write_symbol("j", rows([("new-york",), ("chicago",), ("topeka",)], ["k"]), ["k"], kind="Set", text="markets", order=["nr"])
-        w.write_symbol("d", rows(D, ["a", "b", "v"]), ["a", "b"], {"level": "v"}, text="distance in thousands of miles", order=["nr"])
-        w.write_symbol("cost", rows(D, ["a", "b", "v"]), ["a", "b"], {"level": F.col("v") * 90 / 1000}, order=["nr"])
-        w.write_symbol("a", rows([("seattle", 350.0), ("san-diego", 600.0)], ["k", "v"]), ["k"], {"level": "v"}, text="capacity", order=["nr"])
+        w.write_symbol("i", rows([("brno",), ("turku",)], ["k"]), ["k"], kind="Set", text="saw mills", order=["nr"])
+        w.write_symbol("j", rows([("graz",), ("porto",), ("split",)], ["k"]), ["k"], kind="Set", text="harbours", order=["nr"])
+        w.write_symbol("d", rows(D, ["a", "b", "v"]), ["a", "b"], {"level": "v"}, text="days by rail", order=["nr"])
+        w.write_symbol("cost", rows(D, ["a", "b", "v"]), ["a", "b"], {"level": F.col("v") * 3 / 8}, order=["nr"])
+        w.write_symbol("a", rows([("brno", 410.0), ("turku", 530.0)], ["k", "v"]), ["k"], {"level": "v"}, text="logs a week", order=["nr"])
         x = rows([(*k, v) for k, v in X.items()], ["a", "b", "v"])
-        w.write_symbol("x", x, ["a", "b"], {"level": "v", "marginal": F.col("v") / 10, "upper": F.lit(1e5)}, kind="Variable", text="shipments", order=["nr"])
-        w.write_symbol("supply", rows([("seattle",), ("san-diego",)], ["k"]), ["k"], kind="Equation", text="supply limit", order=["nr"])
-        w.write_symbol("value", rows([("alpha",), ("beta",)], ["k"]), ["k"], kind="Set", order=["nr"])
-        p = rows([("alpha", "alpha", 1.0), ("alpha", "beta", 2.0), ("beta", "alpha", 3.0), ("beta", "beta", 4.0)], ["a", "b", "v"])
+        w.write_symbol("x", x, ["a", "b"], {"level": "v", "marginal": F.col("v") / 10, "upper": F.lit(1e5)}, kind="Variable", text="loads", order=["nr"])
+        w.write_symbol("supply", rows([("brno",), ("turku",)], ["k"]), ["k"], kind="Equation", text="what a mill can saw", order=["nr"])
+        w.write_symbol("value", rows([("oak",), ("elm",)], ["k"]), ["k"], kind="Set", order=["nr"])
+        p = rows([("oak", "oak", 1.0), ("oak", "elm", 2.0), ("elm", "oak", 3.0), ("elm", "elm", 4.0)], ["a", "b", "v"])
         w.write_symbol("p", p, ["a", "b"], {"level": "v"}, domains=["value", "value"], order=["nr"])
-        mixed = rows([("Seattle", 10.0), ("SAN-DIEGO", 20.0), ("topeka", 30.0)], ["k", "v"])
+        mixed = rows([("Lund", 10.0), ("OULU", 20.0), ("split", 30.0)], ["k", "v"])
         w.write_symbol("mixed", mixed, ["k"], {"level": "v"}, order=["nr"])
         w.write_symbol("pi", spark.createDataFrame([(3.14,)], ["v"]), [], {"level": "v"})
         w.write_symbol("none", rows([("x",)], ["k"]).limit(0), ["k"], order=["nr"])
-        w.write_symbol("ii", rows([("seattle",)], ["k"]), ["k"], kind="Alias", domains=["i"], order=["nr"])
+        w.write_symbol("ii", rows([("brno",)], ["k"]), ["k"], kind="Alias", domains=["i"], order=["nr"])
     return Bundle.open(spark, path)
 
 
@@ -53,10 +55,10 @@ def test_catalog(bundle):
 
 def test_label_table(bundle):
     table = bundle.uel_table()
-    assert table[:5] == ["seattle", "san-diego", "new-york", "chicago", "topeka"]
+    assert table[:5] == ["brno", "turku", "graz", "porto", "split"]
     assert bundle.uel_counts() == (len(table), len(table)) and len(set(table)) == len(table)
-    assert bundle.resolve(["topeka", "seattle", "nowhere", None, "TOPEKA", "seattle"]) == [1, 5]
-    assert bundle.resolve([f"x{i}" for i in range(3000)] + ["chicago"]) == [4]
+    assert bundle.resolve(["split", "brno", "nowhere", None, "SPLIT", "brno"]) == [1, 5]
+    assert bundle.resolve([f"x{i}" for i in range(3000)] + ["porto"]) == [4]
 
 
 def test_schema_and_values(bundle):
@@ -68,7 +70,7 @@ def test_schema_and_values(bundle):
     assert [r[2] for r in tuples(scan_symbol(bundle, "x", value_field="marginal"))] == [v / 10 for v in X.values()]
     assert tuples(scan_symbol(bundle, "d", value_field="upper")) == D
     assert tuples(scan_symbol(bundle, "pi")) == [(3.14,)] and scan_symbol(bundle, "pi").columns == ["value"]
-    assert tuples(scan_symbol(bundle, "none")) == [] and tuples(scan_symbol(bundle, "ii")) == [("seattle", 0.0)]
+    assert tuples(scan_symbol(bundle, "none")) == [] and tuples(scan_symbol(bundle, "ii")) == [("brno", 0.0)]
     wide = scan_symbol(bundle, "x", all_fields=True)
     assert wide.columns[2:] == ["level", "marginal", "lower", "upper", "scale"]
     assert wide.df().schema["dim_0"].metadata == {"uel": True}
@@ -86,37 +88,37 @@ def test_custom_key_names(bundle):
 
 def test_key_filters(bundle):
     count = lambda **f: len(tuples(scan_symbol(bundle, "x", key_filter={int(k[1:]): v for k, v in f.items()})))
-    assert count(d0=["seattle"]) == 3 and count(d0=["seattle"], d1=["chicago"]) == 1
-    assert count(d0=["seattle", "san-diego"], d1=["topeka"]) == 2 and count(d1=["chicago"]) == 2
-    assert count(d1=["CHICAGO"]) == count(d0=["atlantis"]) == count(d1=["seattle"]) == count(d0=[]) == count(d0=["seattle "]) == 0
-    assert count(d0=["seattle", "nowhere", None]) == 3
-    scan = scan_symbol(bundle, "x", key_filter={0: ["seattle"]})
-    assert tuples(scan.where_keys({"dim_0": ["san-diego"]})) == []
-    assert len(tuples(scan.where_keys({0: ["san-diego", "seattle"]}).filter(F.col("level") > 0))) == 2
+    assert count(d0=["brno"]) == 3 and count(d0=["brno"], d1=["porto"]) == 1
+    assert count(d0=["brno", "turku"], d1=["split"]) == 2 and count(d1=["porto"]) == 2
+    assert count(d1=["PORTO"]) == count(d0=["nirgends"]) == count(d1=["brno"]) == count(d0=[]) == count(d0=["brno "]) == 0
+    assert count(d0=["brno", "nowhere", None]) == 3
+    scan = scan_symbol(bundle, "x", key_filter={0: ["brno"]})
+    assert tuples(scan.where_keys({"dim_0": ["turku"]})) == []
+    assert len(tuples(scan.where_keys({0: ["turku", "brno"]}).filter(F.col("level") > 0))) == 2
     assert scan.where_keys({0: ["nobody"]}).df().schema == scan.df().schema
-    for bad in ({2: ["a"]}, {-1: ["a"]}, {"dim_9": ["a"]}, {0: "seattle"}):
+    for bad in ({2: ["a"]}, {-1: ["a"]}, {"dim_9": ["a"]}, {0: "brno"}):
         with pytest.raises(ValueError):
             scan_symbol(bundle, "x").where_keys(bad)
 
 
 def test_predicates(bundle):
     x = scan_symbol(bundle, "x")
-    assert len(tuples(x.filter(F.col("dim_0") == "seattle"))) == len(tuples(x.filter(F.lit("seattle") == F.col("dim_0")))) == 3
-    assert len(tuples(x.filter("dim_0 = 'seattle' OR level > 250"))) == 5
-    assert len(tuples(x.filter(F.col("dim_1").isin("topeka", "nowhere")))) == 2
-    assert len(tuples(x.filter((F.col("dim_0") == "seattle") & (F.col("level") > 0)))) == 2
+    assert len(tuples(x.filter(F.col("dim_0") == "brno"))) == len(tuples(x.filter(F.lit("brno") == F.col("dim_0")))) == 3
+    assert len(tuples(x.filter("dim_0 = 'brno' OR level > 250"))) == 4
+    assert len(tuples(x.filter(F.col("dim_1").isin("split", "nowhere")))) == 2
+    assert len(tuples(x.filter((F.col("dim_0") == "brno") & (F.col("level") > 0)))) == 2
     assert len(tuples(x.filter(x.ordinal(1) >= 4))) == 4
-    assert [r[0] for r in tuples(x.where_ordinals(0, 2, 9))] == ["san-diego"] * 3
-    assert sorted({r[0] for r in tuples(scan_symbol(bundle, "mixed"))}) == ["SAN-DIEGO", "Seattle", "topeka"]
+    assert [r[0] for r in tuples(x.where_ordinals(0, 2, 9))] == ["turku"] * 3
+    assert sorted({r[0] for r in tuples(scan_symbol(bundle, "mixed"))}) == ["Lund", "OULU", "split"]
 
 
 def test_head_is_a_slice(bundle):
     x = scan_symbol(bundle, "x")
-    for scan in (x, x.where_keys({1: ["topeka", "chicago"]}), x.filter("level > 0")):
+    for scan in (x, x.where_keys({1: ["split", "porto"]}), x.filter("level > 0")):
         whole = tuples(scan)
         for n in (0, 1, 2, 10):
             assert tuples(scan.head(n)) == whole[:n]
-    assert tuples(x.head(2).filter("level > 100")) == [("seattle", "chicago", 300.0)]
+    assert tuples(x.head(2).filter("level > 100")) == [("brno", "porto", 340.0)]
     assert x.head(3).to_arrow().num_rows == 3 and read_symbol(bundle, "x", n_rows=4).num_rows == 4
     with pytest.raises(ValueError):
         x.head(-1)
@@ -124,15 +126,15 @@ def test_head_is_a_slice(bundle):
 
 def test_projection_and_order(bundle):
     assert scan_symbol(bundle, "x").select("dim_1").columns == ["dim_1"]
-    assert [r[0] for r in tuples(scan_symbol(bundle, "mixed"))] == ["topeka", "Seattle", "SAN-DIEGO"]  # by label number
+    assert [r[0] for r in tuples(scan_symbol(bundle, "mixed"))] == ["split", "Lund", "OULU"]  # by label number
     by_second = scan_symbol(bundle, "d").sorted(1).df().collect()
-    assert [r[1] for r in by_second] == ["new-york"] * 2 + ["chicago"] * 2 + ["topeka"] * 2
+    assert [r[1] for r in by_second] == ["graz"] * 2 + ["porto"] * 2 + ["split"] * 2
 
 
 def test_domains(bundle):
     got = read_domains(bundle, "x")
     assert got.columns == ["dim_0", "dim_1"]
-    assert [tuple(r) for r in got.collect()] == [("seattle", "new-york"), ("san-diego", "chicago"), (None, "topeka")]
+    assert [tuple(r) for r in got.collect()] == [("brno", "graz"), ("turku", "porto"), (None, "split")]
     assert read_domains(bundle, "p").columns == ["value", "value_1"]
     assert read_domains(bundle, "pi").columns == [] and read_domains(bundle, "none").collect() == []
     assert [r.uel for r in domain_elements(bundle, "x", 1).collect()] == [3, 4, 5]
@@ -157,9 +159,9 @@ def test_lifecycle(spark, bundle):
 
 
 def test_plans_push_filters_and_prune_columns(bundle):
-    scan = scan_symbol(bundle, "x", key_filter={0: ["seattle"]}).filter(F.col("dim_1") == "topeka")
+    scan = scan_symbol(bundle, "x", key_filter={0: ["brno"]}).filter(F.col("dim_1") == "split")
     plan = scan.df()._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(k1,topeka)" in plan and "u0" in plan.split("PushedFilters")[1]
+    assert "EqualTo(k1,split)" in plan and "u0" in plan.split("PushedFilters")[1]
     schema = scan.select("dim_1")._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1]
     assert "level" not in schema and "marginal" not in schema and "k0" not in schema
     empty = scan_symbol(bundle, "x", key_filter={0: ["nobody"]}).df()
@@ -248,4 +250,168 @@ def test_host_operations(bundle):
     x, d = scan_symbol(bundle, "x").df(), scan_symbol(bundle, "d").df()
     assert x.join(d, ["dim_0", "dim_1"]).count() == 6
     assert x.select("dim_0").distinct().count() == 2 and x.groupBy("dim_0").count().count() == 2
-    assert [r[0] for r in x.select(F.upper("dim_0")).distinct().orderBy(F.upper("dim_0")).collect()] == ["SAN-DIEGO", "SEATTLE"]
+    assert [r[0] for r in x.select(F.upper("dim_0")).distinct().orderBy(F.upper("dim_0")).collect()] == ["BRNO", "TURKU"]
+
+
+def test_names_that_differ_in_case_are_refused_and_internal_names_may_be_used(spark, tmp_path):
+    two = spark.createDataFrame([("a", "b", 1.0), ("a", "c", 2.0)], ["x", "y", "v"])
+    w = BundleWriter.create(spark, f"file://{tmp_path}/names")
+    w.write_symbol("case", two, ["x", "y"], {"level": "v"}, domains=["I", "i"])
+    w.write_symbol("odd", two, ["x", "y"], {"level": "v"}, domains=["_u0", "_AT"])
+    w.write_symbol("dots", two, ["x", "y"], {"level": "v"}, domains=["a.b", "u0"])
+    b = w.finish()
+    with pytest.raises(ValueError, match="case"):
+        scan_symbol(b, "case")
+    with pytest.raises(ValueError, match="case"):
+        read_domains(b, "case")
+    assert tuples(scan_symbol(b, "case", keys=["p", "q"])) == [("a", "b", 1.0), ("a", "c", 2.0)]
+    assert tuples(scan_symbol(b, "odd").where_keys({"_AT": ["c"]})) == [("a", "c", 2.0)]
+    dots = scan_symbol(b, "dots")
+    assert dots.columns == ["a.b", "u0", "value"] and tuples(dots.filter("`a.b` = 'a' AND u0 = 'b'")) == [("a", "b", 1.0)]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        assert scan_symbol(b, "case").columns == ["I", "i", "value"] and tuples(scan_symbol(b, "case").filter("i = 'c'")) == [("a", "c", 2.0)]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+@pytest.mark.parametrize(
+    ("kind", "values"),
+    [
+        ("double", [100.0, 9.0, 10.0, -1.5]),
+        ("decimal(10,2)", [Decimal("100.00"), Decimal("9.10"), Decimal("10.00"), Decimal("-1")]),
+        ("date", [date(2020, 10, 1), date(2020, 2, 1), date(2020, 9, 30), date(999, 1, 1)]),
+        ("timestamp", [datetime(2020, 10, 1), datetime(2020, 2, 1, 9), datetime(2020, 2, 1, 10), datetime(1960, 1, 1)]),
+        ("string", ["d", "b", "c", "a"]),
+        ("long", [100, 9, 10, -1]),
+    ],
+)
+def test_labels_are_numbered_in_the_order_of_typed_columns(spark, tmp_path, kind, values):
+    rows = spark.createDataFrame([(f"n{i}", v) for i, v in enumerate(values)], f"k string, v {kind}").repartition(3)
+    w = BundleWriter.create(spark, f"file://{tmp_path}/typed")
+    w.write_symbol("s", rows, ["k"], order=["v"])
+    assert w.finish().uel_table() == [f"n{i}" for i in sorted(range(len(values)), key=lambda i: values[i])]
+
+
+@pytest.fixture(scope="module")
+def grid(spark, tmp_path_factory):
+    """300 x 200 records over several partitions; the label of a row is its number."""
+    rows = spark.range(60_000).select((F.col("id") / 200).cast("int").alias("a"), (F.col("id") % 200).cast("int").alias("b"))
+    rows = rows.select("a", "b", F.concat(F.lit("r"), "a").alias("r"), F.concat(F.lit("c"), "b").alias("c"), (F.col("a") * 1000.0 + F.col("b")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        w = BundleWriter.create(spark, f"file://{tmp_path_factory.mktemp('grid')}/g")
+        w.write_symbol("grid", rows, ["r", "c"], {"level": "v"}, domains=["r", "c"], order=["a", "b"])
+        return w.finish()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_read(df):
+    """Records that the scans of an executed plan delivered."""
+    df.collect()
+    node, found = df._jdf.queryExecution().executedPlan(), 0
+    rest = [node]
+    while rest:
+        n = rest.pop()
+        if n.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            rest.append(n.executedPlan())
+            continue
+        if n.getClass().getSimpleName() == "FileSourceScanExec":
+            found += n.metrics().apply("numOutputRows").value()
+        rest += [n.children().apply(i) for i in range(n.children().size())]
+        if n.getClass().getSimpleName().endswith("QueryStageExec"):
+            rest.append(n.plan())
+    return found
+
+
+def test_key_predicates_become_label_numbers(grid):
+    scan = scan_symbol(grid, "grid")
+    for condition in ("r = 'r7'", "'r7' = r", F.col("r").isin("r7", "nowhere", None), (F.col("value") >= 0) & (F.col("r") == "r7"), "r <=> 'r7'"):
+        kept = scan.filter(condition)
+        assert "EqualTo(u0," in plan_of(kept.df()) and [r[2] for r in tuples(kept)] == [7000.0 + b for b in range(200)]
+        assert rows_read(kept.df()) < 60_000
+    for condition in ("r = 'nowhere'", "r = 'c3'", F.col("r").isin("R7"), "r = 'r7' AND c = 'C3'", "r = NULL", F.col("r").isin(None, None)):
+        assert tuples(scan.filter(condition)) == []
+    for condition in ("r = 'nowhere'", "c = 'c3' AND r IN ('x', 'y')", "r = NULL"):
+        assert "FileScan" not in plan_of(scan.filter(condition).df())
+    assert len(tuples(scan.filter("r = 'r7' OR c = 'c3'"))) == 200 + 299  # no conjunction: left to Catalyst
+    assert len(tuples(scan.filter("NOT r = 'r7'"))) == 59_800
+    assert tuples(scan.filter("r = 'r7'").where_keys({"c": ["c3", "c4"]}).filter("c <> 'c4'")) == [("r7", "c3", 7003.0)]
+
+
+def test_long_scattered_lists(grid):
+    scan = scan_symbol(grid, "grid")
+    odd = scan.where_keys({0: [f"r{i}" for i in range(0, 300, 2)], 1: [f"c{i}" for i in range(0, 200_000, 2)]})
+    assert odd.df().count() == 150 * 100
+    many = [f"r{i}" for i in range(200_000) if i % 3] + [f"c{i}" for i in range(200)]
+    kept = scan_symbol(grid, "grid", key_filter={0: many})
+    assert kept.df().count() == 200 * 200 and kept.head(3).collect()[0][:2] == ("r1", "c0")
+    assert scan.filter(F.col("r").isin([f"r{i}" for i in range(1, 1501, 3)])).df().count() == 100 * 200
+
+
+def test_head_reads_a_prefix(grid):
+    scan = scan_symbol(grid, "grid")
+    whole = tuples(scan)
+    assert len(grid.places("grid").collect()) > 1
+    for n in (1, 10, 19_999, 30_000, 59_999, 60_000, 70_000):
+        assert tuples(scan.head(n)) == whole[:n]
+    assert "LessThanOrEqual(at,9)" in plan_of(scan.head(10).df()) and rows_read(scan.head(10).df()) <= 20_000
+    assert tuples(scan.head(500).head(3)) == whole[:3] and tuples(scan.filter("c = 'c199'").head(2)) == [("r0", "c199", 199.0), ("r1", "c199", 1199.0)]
+    assert tuples(scan.head(0)) == []
+
+
+def test_physical_layout_and_integrity(spark, grid, tmp_path):
+    assert grid.is_compressed() and sum(r.bytes for r in grid.files("grid").collect()) > 0
+    assert [tuple(r) for r in grid.restart_points("grid").collect()][:3] == [(1, 0), (202, 200), (203, 400)]
+    assert grid.restart_points("grid").count() == 300
+    rows = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("k"))
+    w = BundleWriter.create(spark, f"file://{tmp_path}/part", compression="none")
+    w.write_symbol("s", rows, ["k"])
+    b = w.finish()
+    assert not b.is_compressed() and read_symbol(b, "s").num_rows == 1000
+    spark.read.parquet(f"{b.root}/data/1").limit(10).write.mode("overwrite").parquet(f"file://{tmp_path}/copy")
+    # the damage: fewer records than the catalog says
+    spark.read.parquet(f"file://{tmp_path}/copy").write.mode("overwrite").parquet(f"{b.root}/data/1")
+    with pytest.raises(IntegrityError):
+        read_symbol(b, "s")
+
+
+def test_low_level_read_is_tolerant(bundle):
+    assert tuples(read_slot(bundle, "x", value_field="MARGINAL"))[1] == ("brno", "porto", 34.0)
+    assert read_slot(bundle, "x", keys=["only"], value_field="Upper").columns == ["dim_0", "dim_1", "upper"]
+    slot = read_slot(bundle, "d", value_field="marginal", n_rows=2)
+    assert slot.columns == ["dim_0", "dim_1", "value"] and [r[2] for r in tuples(slot)] == [0.0, 0.0]
+    assert tuples(read_slot(bundle, "d", key_filter={0: ["nobody"]})) == []
+    with pytest.raises(BundleError):
+        read_slot(bundle, "d", value_field="nope", key_filter={0: []})
+
+
+def test_a_rewritten_bundle_switches_at_once(spark, tmp_path):
+    two = spark.createDataFrame([("a", 1.0), ("b", 2.0)], ["x", "v"])
+    w = BundleWriter.create(spark, f"file://{tmp_path}/b")
+    w.write_symbol("p", two, ["x"], {"level": "v"})
+    first = w.finish()
+    old = scan_symbol(first, "p").df()
+    with pytest.raises(RuntimeError), BundleWriter.create(spark, first.path) as w:
+        w.write_symbol("q", two, ["x"])
+        raise RuntimeError("stop")
+    assert [s.name for s in Bundle(spark, first.path).symbols()] == ["p"]
+    w = BundleWriter.create(spark, first.path)
+    w.write_symbol("q", two, ["x"], {"level": "v"})
+    assert [s.name for s in w.finish().symbols()] == ["q"] and old.count() == 2  # what was open before goes on
+
+
+def test_a_hot_label_in_a_large_dimension(spark, tmp_path, monkeypatch):
+    from symcube.sources import writer
+
+    monkeypatch.setattr(writer, "BROADCAST_BYTES", 0)
+    rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), "id")).alias("a"), F.col("id").cast("string").alias("b"))
+    w = BundleWriter.create(spark, f"file://{tmp_path}/hot")
+    w.write_symbol("s", rows, ["a", "b"])
+    b = w.finish()
+    assert scan_symbol(b, "s").where_keys({0: ["hot"]}).df().count() == 1667 and scan_symbol(b, "s").df().count() == 5000
