@@ -413,7 +413,7 @@ def pivot_links(have: DataFrame, link: tuple[int, int], portion: int) -> DataFra
     return _dealt(own.unionByName(rest), ["pivot", "part"], ("member",)).mapInArrow(_pivot_task(link), "a binary, b binary")
 
 
-def block_links(have: DataFrame, link: tuple[int, int], block_tokens: int) -> DataFrame:
+def block_links(have: DataFrame, link: tuple[int, int], block_tokens: int, work: Workspace) -> DataFrame:
     """Verified links (a, b) between different classes ("known") of the clusters ("root")."""
     # a large cluster is cut by size: linked sets are in the same band or in neighbouring ones
     have = have.withColumn("band", F.floor(F.log("n") / F.log(F.lit(link[1] / link[0]))).cast("long"))
@@ -426,6 +426,7 @@ def block_links(have: DataFrame, link: tuple[int, int], block_tokens: int) -> Da
     group = (F.col("known") == F.col("main")).cast("long") * 4096 + F.col("band")
     per_group = per_band.join(large, "root").groupBy("root", "main", group.alias("g")).agg(F.ceil(F.sum("n") / block_tokens).alias("parts"))
     cut = per_group.groupBy("root", "main").agg(F.map_from_entries(F.collect_list(F.struct("g", "parts"))).alias("parts"))
+    cut = work.put(cut, "cut")  # a table by itself, so that adaptive execution may split a hot cluster's side of the join
     have = have.join(cut, "root", "left").withColumn("g", group)
     number = lambda g, p: g * F.lit(1 << 32) + p
     block = number(F.col("g"), F.pmod(F.xxhash64("sid"), F.element_at("parts", F.col("g"))))
@@ -483,7 +484,7 @@ def _classes(
     placed = members.select("sid", "root").join(classes, "sid", "left").select("sid", "root", F.coalesce("class", "sid").alias("known"))
     split = placed.groupBy("root").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low <> high").select("root")
     rest = work.put(placed.join(split, "root").select("sid", "known"), "open")
-    more = work.put(block_links(have.select("sid", "root", "n", "tokens").join(rest, "sid"), link, block_tokens), "more")
+    more = work.put(block_links(have.select("sid", "root", "n", "tokens").join(rest, "sid"), link, block_tokens, work), "more")
     if not more.isEmpty():
         classes = connected_components(links.unionByName(more), work=work).select(F.col("node").alias("sid"), F.col("root").alias("class"))
 

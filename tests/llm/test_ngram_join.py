@@ -1,3 +1,5 @@
+import datetime
+import decimal
 import random
 import re
 
@@ -6,6 +8,7 @@ import pytest
 
 from symcube.llm import bloom
 from symcube.llm import ngram_join as J
+from symcube.llm.graph import connected_components
 
 SCHEMA = "doc_id long, text string, sid string, n_shingles int, root int"
 
@@ -115,3 +118,73 @@ def test_matches_brute_force(spark, how):
 def test_empty_table(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, None), (2, "")]) == [(1, 0, 1), (2, 0, 2)]
+
+
+def near_copies(n, words=120, seed=5):
+    """A chain of near copies: each differs from the one before by a few words, so its ends differ much."""
+    rng = random.Random(seed)
+    text = [f"c{i}" for i in range(words)]
+    out = []
+    for _ in range(n):
+        text = list(text)
+        text[rng.randrange(words)] = f"n{rng.randrange(10**6)}"
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("how", [{}, {"portion": 1, "block_tokens": 400}, {"portion": 3, "block_tokens": 1}])
+def test_a_large_cluster_that_one_pivot_does_not_link(spark, how):
+    rows = [(i, t) for i, t in enumerate(near_copies(60) + near_copies(25, seed=6) + corpus(3, n=40))]
+    assert run(spark, rows, **how) == brute(rows)
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
+def test_keep_first_of_class_on_both_sides_of_the_broadcast(spark, broadcast_rows):
+    rows = [(i, t) for i, t in enumerate(near_copies(30) + corpus(7, n=60))] + [(0, None), (None, "one two three four")]
+    frame = spark.createDataFrame([(i, t, 1, "g") for i, t in rows], "doc_id long, text string, tag int, doc_id_ string").withColumnRenamed("doc_id_", "stays")
+    out = J.keep_first_of_class(frame.repartition(3), broadcast_rows=broadcast_rows)
+    assert out.columns == ["doc_id", "text", "tag", "stays"]
+    first = {i: c for i, _, c in brute(rows) if i is not None and i != c}
+    want = [(i, t) for i, t in rows if i not in first]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(30_000)}" for _ in range(60_000)]
+    other = list(long)
+    for i in range(0, 60_000, 60):
+        other[i] = "changed"
+    rows = [(1, " ".join(long)), (2, " ".join(other)), (3, "x" * 2_500_000), (4, "x" * 2_500_000 + "\n"), (5, "a " * 400_000)]
+    assert run(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize(("kind", "ids"), [("decimal(20,0)", [decimal.Decimal(3), decimal.Decimal(7)]), ("tinyint", [3, 7]), ("string", ["a", "b"]), ("date", [datetime.date(2020, 1, 1), datetime.date(2020, 1, 2)])])
+def test_types_of_ids(spark, kind, ids):
+    got = J.similarity_classes(spark.createDataFrame([(i, "one two three") for i in reversed(ids)], f"doc_id {kind}, text string"))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == [(ids[0], 1, ids[0]), (ids[1], 1, ids[0])]
+    with pytest.raises(TypeError):
+        J.similarity_classes(spark.createDataFrame([(1.5, "a")], "doc_id double, text string"))
+
+
+def test_connected_components(spark):
+    rng = random.Random(2)
+    names = rng.sample(range(10**6), 400)
+    edges = [(names[i], names[i + 1]) for i in range(120)]  # a path
+    edges += [(names[150], n) for n in names[151:220]] + [(n, names[150]) for n in names[160:170]]  # a star, with edges back
+    edges += [(names[230], names[230]), (None, names[3]), (names[231], names[232]), (names[231], names[232])]
+    edges += [(rng.choice(names[240:]), rng.choice(names[240:])) for _ in range(140)]
+    root = {n: n for e in edges for n in e if None not in e and e[0] != e[1]}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        if a in root and b in root and a != b:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.root for r in got} == {n: find(n) for n in root} and len(got) == len(root)
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
