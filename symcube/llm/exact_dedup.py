@@ -55,9 +55,7 @@ def heavy_digests(slim: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -
     found = slim.select(F.expr(f"approx_top_k(xxhash64(digest), {heavy}, {tracked})").alias("top")).first()["top"]
     hashes = [x["item"] for x in found or [] if x["count"] >= 8]
     if not hashes:
-        return spark.createDataFrame([], "digest binary, win_row long, keep_id long, size long").select(
-            "digest", "win_row", F.col("keep_id").cast(slim.schema["doc_id"].dataType), "size"
-        )
+        return spark.createDataFrame([], f"digest binary, win_row long, keep_id {slim.schema['doc_id'].dataType.simpleString()}, size long")
     # the sketch's hashes are verified here: exact digests, exact counts
     picked = slim.where(F.xxhash64("digest").isin(hashes))
     return _winners(picked).orderBy(F.desc("size"), "digest").limit(heavy)

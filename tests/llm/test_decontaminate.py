@@ -1,3 +1,4 @@
+import datetime
 import random
 
 import pytest
@@ -66,3 +67,15 @@ def test_empty(spark):
     docs, items = data(5)
     assert run(spark, [], items) == ([], [])
     assert run(spark, docs[:3], []) == ([], sorted(docs[:3], key=str))
+
+
+def test_several_portions_and_types_of_ids(spark):
+    items = spark.createDataFrame([(str(i), f"alpha{i} beta{i} gamma{i} delta{i} eps{i} zeta{i} eta{i}") for i in range(30)] * 3, "item_id string, text string")
+    docs = spark.createDataFrame([(datetime.date(2020, 1, 1 + i), f"start alpha{i} beta{i} gamma{i} delta{i} eps{i} zeta{i} eta{i} end", "a", i) for i in range(28)] + [(None, "clean", "b", 1)], "doc_id date, text string, item_id string, `n.found` int")
+    for limit in (1, 7, 10**6):
+        got = D.find_leaks(docs, items, index_shingles=limit).collect()
+        assert sorted((r.doc_id.day - 1, r.item_id) for r in got) == sorted((i, str(i)) for i in range(28) for _ in range(3))
+    left = D.drop_leaks(docs, items, index_shingles=20)
+    assert left.columns == docs.columns and [r.text for r in left.collect()] == ["clean"]
+    with pytest.raises(TypeError):
+        D.find_leaks(docs.selectExpr("1.5D AS doc_id", "text"), items)

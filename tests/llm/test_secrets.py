@@ -1,7 +1,9 @@
 import hashlib
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from symcube.llm.secrets import scan_secrets
 
@@ -57,6 +59,49 @@ def test_base_spans_match_brute_force(result):
         assert ",".join(base) == said
 
 
+GENERIC = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+
+
+def brute_corpus(rows, example_owners, example_repos):
+    """(spans, n_owned, n_live, n_example) of each row (text, repository, owner), going through all of them twice."""
+    found, repos, owners = [], {}, {}
+    for text, repo, owner in rows:
+        own = [(m.start(), rank, kind, m.end(), m[1]) for rank, (kind, pattern, least) in enumerate(BASE) for m in pattern.finditer(text or "") if len(m[1]) >= least]
+        own += [(m.start(), 3, "owned", m.end(), m[0]) for m in GENERIC.finditer(text or "") if all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]"))]
+        found.append(sorted(own))
+        for *_, secret in own:
+            repos.setdefault(secret, set()).add(repo or "")
+            owners.setdefault(secret, set()).add(owner or "")
+    out = []
+    for own in found:
+        example = lambda s: len(owners[s]) >= example_owners or len(repos[s]) >= example_repos
+        clear = lambda x: all(y[1] == 3 or y[3] <= x[0] or x[3] <= y[0] for y in own)  # noqa: B023, E731
+        kept = [x for x in own if x[1] < 3 or len(owners[x[4]]) == 1 and not example(x[4]) and clear(x)]
+        out.append((",".join(f"{k}:{a}:{b}" for a, _, k, b, _ in kept), sum(x[1] == 3 for x in kept), sum(not example(x[4]) for x in kept), sum(example(x[4]) for x in kept)))
+    return out
+
+
+def test_ownership_decides_spans(spark):
+    rng = random.Random(8)
+    keys = ["".join(rng.choice("abcdefABCDEF0123456789+/_-") for _ in range(rng.choice([19, 20, 24, 40]))) for _ in range(25)]
+    rows = []
+    for _ in range(300):
+        parts = [rng.choice(["note", "password=", "key", f"token = '{rng.choice(keys)}'", rng.choice(keys), rng.choice(keys[:4]), "ab12" * 7]) for _ in range(rng.randrange(6))]
+        owner = rng.choice(["o1", "o2", "o3", "o4", None])
+        rows.append((" ".join(parts) if parts else None, f"{owner}/{rng.randrange(5)}", owner))
+    rows += [(f"x {keys[0]}9Zz", f"solo/{i}", "solo") for i in range(4)] + [(f"x {keys[1]}9Zz", f"solo/{i}", "solo") for i in range(3)] + rows[:9]
+    rows += [(f"mine {'Zq7'}{n}{'abcdefghijkABCDEF'} secret: {'Zq7'}{n}{'abcdefghijkABCDEF'}", f"{o}/{i}", o) for n, (o, i) in enumerate([("o1", 1), ("o1", 2), ("o2", 3)])]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, place string, team string").repartition(3)
+    verdicts = set()
+    for limits in ((3, 4), (2, 9), (9, 2)):
+        got = {r.doc_id: (r.spans, r.n_owned, r.n_live, r.n_example) for r in scan_secrets(frame, repo="place", owner=F.col("team"), example_owners=limits[0], example_repos=limits[1]).collect()}
+        want = brute_corpus(rows, *limits)
+        assert [got[i] for i in range(len(rows))] == want
+        verdicts.add(tuple(w[1:] for w in want))
+        assert sum(w[1] for w in want) and sum(w[3] for w in want)
+    assert len(verdicts) == 3  # repositories and owners both matter
+
+
 def test_ownership(result):
     copied = [r for r in result if r.doc_id == 3]
     assert all(f.verdict == "example" and f.n_owners == 3 for r in copied for f in r.findings)

@@ -1,3 +1,5 @@
+import datetime
+import decimal
 import random
 import zlib
 
@@ -114,3 +116,26 @@ def test_empty_tables(spark):
     assert packing.pack(empty, PATH).collect() == []
     manifest = sstable.write_shards(empty, PATH)
     assert sstable.read_shards(manifest).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "string", "decimal(20,0)", "date"])
+def test_types_of_ids(spark, plain, kind):
+    value = {"decimal(20,0)": decimal.Decimal(3), "tinyint": 3, "string": "three", "date": datetime.date(2020, 1, 3)}[kind]
+    docs = spark.createDataFrame([(value, "a b"), (None, "c")], f"doc_id {kind}, text string")
+    got = packing.pack(docs, PATH, keep_ids=False)
+    assert got.schema["doc_id"].dataType.simpleString() == kind and {r.doc_id for r in got.collect()} == {value, None}
+    if kind in ("tinyint", "string"):
+        out = sstable.read_shards(sstable.write_shards(docs, PATH))
+        assert out.schema["doc_id"].dataType.simpleString() == kind
+        assert [(r.doc_id, r.start, r.n_tokens) for r in out.orderBy("start").collect()] == [(None, 0, len(plain("c")) + 1), (value, len(plain("c")) + 1, len(plain("a b")) + 1)]
+    else:
+        with pytest.raises(TypeError):
+            sstable.write_shards(docs, PATH)
+
+
+def test_special_tokens_are_taken_as_the_tokenizer_does(spark, plain):
+    text = "a<|endoftext|>b and more words"
+    assert 50256 in plain(text) and len(plain("a<|endoftext|>b")) == 3
+    assert np.frombuffer(Encoder(PATH).encode([text])[0], Encoder(PATH).dtype).tolist() == plain(text)
+    got = sstable.read_shards(sstable.write_shards(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH)).first()
+    assert got.ids_crc32 == crc([*plain(text), 2])

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 import xxhash
 
 from symcube.llm import url_filter as U
@@ -83,3 +84,16 @@ def test_bloom_has_no_false_negatives(spark):
     bloom = U.build_bloom(spark.createDataFrame([(k,) for k in keys], "key string"))
     assert U.may_hold(bloom, keys).all()
     assert U.may_hold(bloom, [f"U other{i}" for i in range(5000)]).mean() < 0.05
+
+
+def test_hot_urls_and_rules(spark):
+    pages = [(i, "http://Hot.net/a/" if i % 3 else f"http://s{i}.com/de/{i}") for i in range(900)] + [(900 + i, f"http://cold{i % 40}.net/") for i in range(200)]
+    listed = ["http://hot.net/a", *(f"http://cold{i}.net" for i in range(0, 40, 2)), *(f"http://none{i}.net" for i in range(50))]
+    want = sorted(((i, *brute(u, RULES, listed)) for i, u in pages), key=str)
+    for hot in (1, 4, 1024):
+        assert run(spark, pages, RULES, listed, hot=hot) == want
+
+
+def test_other_types_of_ids_are_refused(spark):
+    with pytest.raises(TypeError):
+        U.filter_urls(spark.createDataFrame([(1.5, "a")], "page_id double, url string"), spark.createDataFrame([], "host string, path string, verdict string"), spark.createDataFrame([], "url string"))
