@@ -131,9 +131,25 @@ class SymbolScan:
     def collect(self) -> list:
         return self.sorted().df().collect()
 
-    def to_arrow(self):
-        """All rows in record order as one Arrow table on the driver; a whole symbol must be complete."""
-        table = self.sorted().df().toArrow()
+    def to_arrow(self, categories: bool = False):
+        """All rows in record order as one Arrow table on the driver; a whole symbol must be complete.
+
+        With ``categories``, keys are dictionary-encoded: their categories are all labels of the bundle in the order
+        of their numbers, so a sort of the keys follows the bundle's order.
+        """
+        rows = self.sorted()
+        if not categories:
+            table = rows.df().toArrow()
+        else:
+            import pyarrow as pa
+            import pyarrow.compute  # noqa: F401
+
+            slim = rows.data.select(*[F.col(u).alias(f"u{i}") for i, u in enumerate(self.ordinals)], *[F.col(f"`{v}`") for v in self.shown])
+            table = slim.toArrow()
+            labels = pa.array(self.bundle.uel_table(), pa.string())
+            width = pa.int16() if len(labels) <= 1 << 15 else pa.int32()
+            encoded = [pa.DictionaryArray.from_arrays(pa.compute.subtract(table[i].combine_chunks(), 1).cast(width), labels, ordered=True) for i in range(len(self.keys))]
+            table = pa.table([*encoded, *[table[v] for v in self.shown]], names=self.columns)
         if self.whole:
             self.bundle.check_count(self.symbol.name, table.num_rows)
         return table

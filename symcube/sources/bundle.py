@@ -2,7 +2,8 @@
 
 Layout of a bundle directory::
 
-    catalog.json              replaced in one step when a version is complete; without it there is no bundle
+    catalog.json              replaced in one step when a version is complete; without it there is no bundle;
+                              holds the labels too if they are few
     <version>/labels/         uel INT, label STRING, sorted by uel: the label numbers, from 1
     <version>/by_label/       the same rows, sorted by label, for lookups
     <version>/data/<number>/  at BIGINT, u0.. INT, k0.. STRING, level .. scale DOUBLE, sorted by u0, u1, ..
@@ -78,6 +79,7 @@ class Bundle:
             raise OpenReadError(f"{path} holds no complete bundle")
         told = json.loads(found)
         self.root, self.producer, self.compression = f"{self.path}/{told['version']}", told["producer"], told["compression"]
+        self._labels = told["labels"] and {x: n for n, x in enumerate(told["labels"], 1)}  # only of a small label table
         self._symbols = [Symbol(**s | {"domains": tuple(s["domains"])}) for s in told["symbols"]]
         self._by_name = {s.name: s for s in self._symbols}
 
@@ -133,11 +135,16 @@ class Bundle:
         return row.n, row.high
 
     def lookup(self, labels: Iterable[str | None]) -> dict[str, int]:
-        """The numbers of the known among some labels; exact match.  Rows are sorted by label, so few pages are read."""
+        """The numbers of the known among some labels; exact match.
+
+        A small label table came with the catalog.  Otherwise the rows sorted by label are read, of which few pages match.
+        """
         self._check()
         known = [x for x in dict.fromkeys(labels) if x is not None]
         if not known:
             return {}
+        if self._labels is not None:
+            return {x: self._labels[x] for x in known if x in self._labels}
         found = self.spark.read.schema(UELS).parquet(f"{self.root}/by_label")
         if len(known) <= 2000:
             found = found.where(F.col("label").isin(known))

@@ -19,6 +19,8 @@ from symcube.sources.errors import CreateError, InvalidPathError, InvalidWriteIn
 
 #: A dimension's labels are broadcast up to so many bytes; beyond, the records are joined with them by a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: A label table of up to so many bytes is part of the catalog file too, so that lookups need no job.
+INLINE_BYTES = 256 << 10
 #: Symbols that are written at the same time.
 AT_ONCE = 4
 
@@ -186,8 +188,11 @@ class BundleWriter:
             {"number": n, "name": s.name, "type": s.kind, "dim": s.dim, "subtype": s.subtype, "records": s.records, "domains": s.domains, "text": s.text, "first_rows": heads.get(n, 0)}
             for n, s in enumerate(self._staged, 1)
         ]
+        told_labels = None
+        if (uels.agg(F.sum(F.octet_length("label") + 4).alias("n")).first()["n"] or 0) <= INLINE_BYTES:
+            told_labels = [r.label for r in uels.orderBy("uel").collect()]
         before = read_text(self.spark, f"{self.path}/catalog.json")
-        told = {"version": version, "producer": self.producer, "compression": self.compression, "symbols": symbols}
+        told = {"version": version, "producer": self.producer, "compression": self.compression, "symbols": symbols, "labels": told_labels}
         write_text(self.spark, f"{self.path}/catalog.json", json.dumps(told))
         self.finished = True
         keep = {version, json.loads(before)["version"] if before else version}

@@ -344,6 +344,20 @@ def test_key_predicates_become_label_numbers(grid):
     assert tuples(scan.filter("r = 'r7'").where_keys({"c": ["c3", "c4"]}).filter("c <> 'c4'")) == [("r7", "c3", 7003.0)]
 
 
+def test_lookups_in_a_stored_label_table(spark, tmp_path, monkeypatch):
+    from symcube.sources import writer
+
+    monkeypatch.setattr(writer, "INLINE_BYTES", 0)
+    rows = spark.range(500).select(F.concat(F.lit("r"), F.col("id") % 50).alias("a"), F.concat(F.lit("c"), "id").alias("b"))
+    w = BundleWriter.create(spark, f"file://{tmp_path}/stored")
+    w.write_symbol("s", rows, ["a", "b"], domains=["a", "b"])
+    b = w.finish()
+    assert b._labels is None and b.resolve(["r0", "c0", "no", None]) == [1, 2] and b.resolve([]) == []
+    assert b.lookup([f"c{i}" for i in range(3000)]) == {r.label: r.uel for r in b.uels().where("label LIKE 'c%'").collect()}
+    assert scan_symbol(b, "s").filter("a = 'r7'").df().count() == 10 and scan_symbol(b, "s").where_keys({0: ["r7"], 1: ["c7"]}).df().count() == 1
+    assert "FileScan" not in plan_of(scan_symbol(b, "s").filter("a = 'nowhere'").df())
+
+
 def test_long_scattered_lists(grid):
     scan = scan_symbol(grid, "grid")
     odd = scan.where_keys({0: [f"r{i}" for i in range(0, 300, 2)], 1: [f"c{i}" for i in range(0, 200_000, 2)]})
@@ -415,3 +429,13 @@ def test_a_hot_label_in_a_large_dimension(spark, tmp_path, monkeypatch):
     w.write_symbol("s", rows, ["a", "b"])
     b = w.finish()
     assert scan_symbol(b, "s").where_keys({0: ["hot"]}).df().count() == 1667 and scan_symbol(b, "s").df().count() == 5000
+
+
+def test_keys_as_categories(bundle):
+    scan = scan_symbol(bundle, "x")
+    table = scan.to_arrow(categories=True)
+    assert table.column_names == ["dim_0", "dim_1", "level"] and table.to_pylist() == scan.to_arrow().to_pylist()
+    keys = table["dim_1"].chunk(0)
+    assert keys.type.ordered and keys.dictionary.to_pylist() == bundle.uel_table() and str(keys.type.index_type) == "int16"
+    empty = scan.where_keys({0: ["nobody"]}).to_arrow(categories=True)
+    assert empty.num_rows == 0 and empty.schema.field("dim_0").type == table.schema.field("dim_0").type
