@@ -44,14 +44,20 @@ class Workspace:
     """The intermediate tables of one run of an operator, in one folder of the shared file system.
 
     Writing a table cuts the lineage: losing an executor afterwards costs nothing but the tasks it ran.
-    ``clear`` deletes the tables that nothing reads any more.
+    ``clear`` deletes the tables that nothing reads any more, and takes broadcast values from the executors.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, shared_dir(spark)
         self.paths: dict[str, str] = {}
+        self.sent: list = []
         self.count = 0
 
+    def send(self, value):
+        """Broadcast a value of bounded size that only tables written before ``clear`` need."""
+        self.sent.append(self.spark.sparkContext.broadcast(value))
+        return self.sent[-1]
+
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a reader of it; a repeated name replaces the older table's entry."""
         self.count += 1
@@ -61,7 +67,9 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self, *keep: str) -> None:
-        """Delete all tables but those of the given names."""
+        """Delete all tables but those of the given names, and all broadcast values."""
+        while self.sent:
+            self.sent.pop().destroy()
         for key in [k for k in self.paths if k[4:] not in keep]:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(key))
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

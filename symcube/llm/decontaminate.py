@@ -221,7 +221,7 @@ def find_leaks(
     shape = f"doc_id {kind}, item_id {item_kind}, n_shingles long, n_found long, containment double"
     found = spark.createDataFrame([], shape)
     for portion, _ in portions(items, item_id, item_text, index_shingles, work):
-        sent = spark.sparkContext.broadcast(portion)
+        sent = work.send(portion)
 
         def task(batches, sent=sent):
             for batch in sliced(batches, 1):
@@ -231,7 +231,8 @@ def find_leaks(
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], schema=pa.schema(fields))
 
         found = found.unionByName(work.put(slim.mapInArrow(task, shape), "found"))
-        sent.destroy()
+        work.clear("items", "found")
+    work.clear("found")
     return found
 
 

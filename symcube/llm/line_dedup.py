@@ -326,7 +326,7 @@ def common_blocks(
     holders = found.groupBy("hash").agg(F.min(order).alias("holder"), F.count("*").alias("df"), F.max(order).alias("last"))
     holders = work.put(holders.where("holder <> last").select("hash", "holder", "df"), "holders")
     # most windows have one holder; a bounded filter keeps those rows out of the join
-    sent = spark.sparkContext.broadcast(bloom.build(holders.select("hash"), bloom_bytes))
+    sent = work.send(bloom.build(holders.select("hash"), bloom_bytes))
     shared = found.mapInArrow(_task_held(sent), shape).join(holders, "hash")
     # a frequent run holds frequent lines only, and so needs the words of a passage
     shared = shared.where((F.col("words") >= passage_words) | (F.col("df") <= rare_df))

@@ -338,7 +338,7 @@ def candidate_edges(index: DataFrame, bloom_bytes: int, work: Workspace) -> Data
     """
     first = index.groupBy("sig").agg(F.min("sid").alias("b"), F.max("sid").alias("top")).where("b <> top").select("sig", "b")
     first = work.put(first, "first")
-    sent = index.sparkSession.sparkContext.broadcast(bloom.build(first.select("sig"), bloom_bytes, mix))
+    sent = work.send(bloom.build(first.select("sig"), bloom_bytes, mix))
     held = index.mapInArrow(_held_task(sent), "sig long, sid binary")
     edges = held.join(first, "sig").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct()
     return work.put(edges, "candidates")
@@ -454,14 +454,13 @@ def _classes(
     portion: int = 100,
 ) -> DataFrame:
     """One row per input row: doc_id, tag (hash of id and text), n_shingles, component_id, stays."""
-    spark, work = docs.sparkSession, Workspace(docs.sparkSession)
+    work = Workspace(docs.sparkSession)
     texts = texts_of(docs, doc_id, text).select("tag", "text").where("text IS NOT NULL")
-    send = spark.sparkContext.broadcast
-    bloom_of = lambda tags: send(bloom.build(tags, bloom_bytes, mix))
+    bloom_of = lambda tags: work.send(bloom.build(tags, bloom_bytes, mix))
 
     sets = work.put(measured(docs, doc_id, text, words, link), "sets")
     base = sets.drop("front")
-    known = send(corpus_tokens(sets, frequent, bloom_bytes, work))
+    known = work.send(corpus_tokens(sets, frequent, bloom_bytes, work))
     early = sets.where("sid IS NOT NULL").select("tag", "n_shingles", "sid", "front").mapInArrow(_early_task(link, known), "sig long, sid binary, tag long")
     early = work.put(early, "early")
     late = early.where("sig IS NULL").groupBy("sid").agg(F.min("tag").alias("tag")).select("tag")  # one document of each set
@@ -496,7 +495,6 @@ def _classes(
     alone = base.where("sid IS NULL").select("doc_id", "tag", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
     result = work.put(linked.unionByName(alone), "result")
     work.clear("result")
-    known.destroy()
     return result
 
 
