@@ -14,11 +14,11 @@ ROW_BITS = 33
 LISTED_IDS = 300
 
 
-def bases(placed: DataFrame, at: str) -> DataFrame:
-    """part, base (rows of all partitions before), rows: one small row per partition of a table with places."""
-    sizes = placed.groupBy(F.shiftright(at, ROW_BITS).cast("int").alias("part")).agg(F.count("*").alias("rows"))
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    return sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"), "rows")
+def bases(placed: DataFrame, at: str, *group: str) -> DataFrame:
+    """part, base (rows of all partitions before), rows: one small row per partition of a table with places, or of each group."""
+    sizes = placed.groupBy(*group, F.shiftright(at, ROW_BITS).cast("int").alias("part")).agg(F.count("*").alias("rows"))
+    before = W.partitionBy(*group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    return sizes.select(*group, "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"), "rows")
 
 
 def numbered(placed: DataFrame, at: str, name: str, start: int = 1) -> DataFrame:

@@ -31,22 +31,30 @@ def write_bundle(spark: SparkSession, sf_dir: str, path: str) -> Bundle:
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"),
     )
     events = table("events").select("*", label("u", "user_id").alias("user"), label("e", "event_id").alias("event"))
+    of = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])  # 5 rows at any scale
+    parts = table("part").select("*", part_label.alias("part"))
+    orders = table("orders").select("*", order_label.alias("order"))
+    count = table("lineitem").agg(F.count("*").cast("double").alias("n"))
+    fields = {"level": "l_quantity", "marginal": "l_extendedprice", "lower": "l_discount", "upper": "l_tax", "scale": F.lit(1.0)}
+    place = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "day"]
+    domains = ["order", "part", "supp", "line", "day"]
+
+    def symbol(name: str, records: DataFrame, keys: list[str], values: dict | None = None, **how) -> dict:
+        return {"name": name, "records": records, "keys": keys, "values": values, **how}
+
     with BundleWriter.create(spark, path) as w:
-        w.write_symbol("region", region, ["r_name"], kind="Set", text="regions", order=["r_regionkey"])
-        of = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])  # 5 rows at any scale
-        w.write_symbol("nation", of, ["n_name", "r_name"], kind="Set", text="nations", domains=["nation", "region"], order=["n_nationkey"])
-        w.write_symbol("bal", table("customer"), ["c_mktsegment", "c_name"], {"level": "c_acctbal"}, text="balance", domains=["segment", "customer"], order=["c_custkey"])
-        parts = table("part").select("*", part_label.alias("part"))
-        w.write_symbol("price", parts, ["p_brand", "part"], {"level": "p_retailprice"}, text="price", domains=["value", "value"], order=["p_partkey"])
-        orders = table("orders").select("*", order_label.alias("order"))
-        w.write_symbol("total", orders, ["o_orderpriority", "order"], {"level": "o_totalprice"}, kind="Equation", text="order total", domains=["priority", "order"], order=["o_orderkey"])
-        fields = {"level": "l_quantity", "marginal": "l_extendedprice", "lower": "l_discount", "upper": "l_tax", "scale": F.lit(1.0)}
-        place = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "day"]
-        domains = ["order", "part", "supp", "line", "day"]
-        w.write_symbol("ship", lines, domains, fields, kind="Variable", text="shipments", domains=domains, order=place)
-        w.write_symbol("ev", events, ["event_type", "user", "event"], {"level": "value"}, text="events", domains=["*", "user", "*"], order=["event_id"])
-        count = table("lineitem").agg(F.count("*").cast("double").alias("n"))
-        w.write_symbol("nlines", count, [], {"level": "n"}, text="number of line items")
+        w.write_symbols(
+            [
+                symbol("region", region, ["r_name"], kind="Set", text="regions", order=["r_regionkey"]),
+                symbol("nation", of, ["n_name", "r_name"], kind="Set", text="nations", domains=["nation", "region"], order=["n_nationkey"]),
+                symbol("bal", table("customer"), ["c_mktsegment", "c_name"], {"level": "c_acctbal"}, text="balance", domains=["segment", "customer"], order=["c_custkey"]),
+                symbol("price", parts, ["p_brand", "part"], {"level": "p_retailprice"}, text="price", domains=["value", "value"], order=["p_partkey"]),
+                symbol("total", orders, ["o_orderpriority", "order"], {"level": "o_totalprice"}, kind="Equation", text="order total", domains=["priority", "order"], order=["o_orderkey"]),
+                symbol("ship", lines, domains, fields, kind="Variable", text="shipments", domains=domains, order=place),
+                symbol("ev", events, ["event_type", "user", "event"], {"level": "value"}, text="events", domains=["*", "user", "*"], order=["event_id"]),
+                symbol("nlines", count, [], {"level": "n"}, text="number of line items"),
+            ]
+        )
     return Bundle(spark, path)
 
 

@@ -14,7 +14,7 @@ from symcube.functions.naming import FIELDS, KINDS, MAX_DIM, MAX_LABEL_BYTES
 from symcube.functions.ordinals import bases, number_rows, placed_by
 from symcube.functions.special import Sentinels, map_special
 from symcube.functions.storage import delete, folders, read_text, scratch, store, write_text
-from symcube.sources.bundle import PLACES, UELS, Bundle
+from symcube.sources.bundle import UELS, Bundle
 from symcube.sources.errors import CreateError, InvalidPathError, InvalidWriteInputError, OpenWriteError
 
 #: A dimension's labels are broadcast up to so many bytes; beyond, the records are joined with them by a shuffle.
@@ -87,11 +87,46 @@ class BundleWriter:
         ``order`` gives the records' order of insertion, by columns of any type that Spark sorts, ties by the
         keys; by default it is the order of the keys.  The source is computed once.
         """
-        dim = len(keys)
+        self.write_symbols([{"name": name, "records": records, "keys": keys, "values": values, "kind": kind, "text": text, "domains": domains, "subtype": subtype, "order": order, "sentinels": sentinels}])
+
+    def write_symbols(self, symbols: list[dict]) -> None:
+        """Stage several symbols, each given by the arguments of ``write_symbol``, at the same time.
+
+        They are numbered in the order of the list.  If one is refused, none is staged.
+        """
         if self.finished:
             raise OpenWriteError("the bundle is finished")
-        if not name or any(s.name == name for s in self._staged):
-            raise InvalidWriteInputError(f"symbol name {name!r} is empty or taken")
+        taken = {s.name for s in self._staged}
+        for s in symbols:
+            if not s["name"] or s["name"] in taken:
+                raise InvalidWriteInputError(f"symbol name {s['name']!r} is empty or taken")
+            taken.add(s["name"])
+        plans = [self._planned(**s) for s in symbols]
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            jobs = [pool.submit(self._stage, *p) for p in plans]
+        errors = [e for j in jobs if (e := j.exception())]
+        staged = [j.result() for j in jobs if not j.exception()]
+        if errors:
+            for s in staged:
+                delete(self.spark, s.folder)
+            raise errors[0]
+        self._staged += staged
+
+    def _planned(
+        self,
+        name: str,
+        records: DataFrame,
+        keys: list[str],
+        values: dict[str, str | Column] | None = None,
+        kind: str = "Parameter",
+        text: str = "",
+        domains: list[str] | None = None,
+        subtype: int = 0,
+        order: list[str | Column] | None = None,
+        sentinels: Sentinels | None = None,
+    ) -> tuple[_Staged, DataFrame, list[str]]:
+        """What can be checked without a job; the records to stage, in their order, and the key columns."""
+        dim = len(keys)
         if domains and len(domains) != dim:
             raise InvalidWriteInputError(f"{len(domains)} domain names for {dim} dimensions")
         if dim > MAX_DIM:
@@ -114,14 +149,18 @@ class BundleWriter:
         )
         sorting = [*[f"o{i}" for i in range(len(order or []))], *labels]
         data = placed_by(data, sorting, "at") if sorting else data.withColumn("at", F.monotonically_increasing_id())
-        folder = scratch(self.spark, "staged")
-        data = store(data.select(*labels, *FIELDS, "at"), folder)
+        data = data.select(*labels, *FIELDS, "at")
+        return _Staged(name, kind, dim, subtype, list(domains or ["*"] * dim), text, 0, data, scratch(self.spark, "staged")), data, labels
+
+    def _stage(self, s: _Staged, data: DataFrame, labels: list[str]) -> _Staged:
+        """Written and validated."""
+        s.data = store(data, s.folder)
         try:
-            count = self._validate(name, data, labels)
+            s.records = self._validate(s.name, s.data, labels)
         except InvalidWriteInputError:
-            delete(self.spark, folder)
+            delete(self.spark, s.folder)
             raise
-        self._staged.append(_Staged(name, kind, dim, subtype, list(domains or ["*"] * dim), text, count, data, folder))
+        return s
 
     def _validate(self, name: str, data: DataFrame, labels: list[str]) -> int:
         """The number of records.  Only hashes of the keys are shuffled; keys themselves if two hashes are equal."""
@@ -154,19 +193,19 @@ class BundleWriter:
             if s.dim:
                 own = self._firsts(number, s)
                 firsts = own if firsts is None else firsts.unionByName(own)
-        used = scratch(self.spark, "firsts")
-        firsts = store(firsts if firsts is not None else self.spark.createDataFrame([], "symbol int, d int, label string, at long"), used)
+        temporary = [scratch(self.spark, "firsts"), scratch(self.spark, "codes")]
+        firsts = store(firsts if firsts is not None else self.spark.createDataFrame([], "symbol int, d int, label string, at long"), temporary[0])
         first = firsts.groupBy("label").agg(F.min(F.struct("symbol", "at", "d")).alias("first"))
         uels = store(number_rows(first, ["first"], "uel").select(F.col("uel").cast("int"), "label"), f"{root}/labels", **how)
         by_label = uels.select("uel", "label").repartitionByRange("label").sortWithinPartitions("label")
+        codes = store(firsts.join(uels, "label").select("symbol", "d", "uel", "label"), temporary[1])
         # so many bytes of labels does each dimension have: one small row each
         sizes = {(r.symbol, r.d): r.n for r in firsts.groupBy("symbol", "d").agg(F.sum(F.octet_length("label") + 16).alias("n")).collect()}
 
         def write(number: int, s: _Staged) -> None:
             data = s.data.drop("at")
             for d in range(s.dim):
-                own = firsts.where((F.col("symbol") == number) & (F.col("d") == d)).select("label").join(uels, "label")
-                own = own.select(F.col("uel").alias(f"u{d}"), F.col("label").alias(f"k{d}"))
+                own = codes.where((F.col("symbol") == number) & (F.col("d") == d)).select(F.col("uel").alias(f"u{d}"), F.col("label").alias(f"k{d}"))
                 data = data.join(F.broadcast(own) if sizes.get((number, d), 0) <= BROADCAST_BYTES else own, f"k{d}")
             keys = [f"u{i}" for i in range(s.dim)]
             data = data.select(*keys, *[f"k{i}" for i in range(s.dim)], *FIELDS)
@@ -178,18 +217,17 @@ class BundleWriter:
             jobs.append(pool.submit(lambda: by_label.write.parquet(f"{root}/by_label", **how)))
             for job in jobs:
                 job.result()
-        places = self.spark.createDataFrame([], PLACES)
-        for number, s in enumerate(self._staged, 1):
-            stored = self.spark.read.schema("at long").parquet(f"{root}/data/{number}")
-            places = places.unionByName(bases(stored, "at").select(F.lit(number).alias("symbol"), "part", "base", "rows"))
-        places = store(places.coalesce(1).sortWithinPartitions("symbol", "base"), f"{root}/places")
+        parts = self.spark.createDataFrame([], "symbol int, at long")
+        for number, _ in enumerate(self._staged, 1):
+            parts = parts.unionByName(self.spark.read.schema("at long").parquet(f"{root}/data/{number}").select(F.lit(number).alias("symbol"), "at"))
+        places = store(bases(parts, "at", "symbol").coalesce(1).sortWithinPartitions("symbol", "base"), f"{root}/places")
         heads = {r.symbol: r.rows for r in places.where("part = 0").collect()}  # one row per symbol
         symbols = [
             {"number": n, "name": s.name, "type": s.kind, "dim": s.dim, "subtype": s.subtype, "records": s.records, "domains": s.domains, "text": s.text, "first_rows": heads.get(n, 0)}
             for n, s in enumerate(self._staged, 1)
         ]
         told_labels = None
-        if (uels.agg(F.sum(F.octet_length("label") + 4).alias("n")).first()["n"] or 0) <= INLINE_BYTES:
+        if sum(sizes.values()) <= 16 * INLINE_BYTES and (uels.agg(F.sum(F.octet_length("label") + 4).alias("n")).first()["n"] or 0) <= INLINE_BYTES:
             told_labels = [r.label for r in uels.orderBy("uel").collect()]
         before = read_text(self.spark, f"{self.path}/catalog.json")
         told = {"version": version, "producer": self.producer, "compression": self.compression, "symbols": symbols, "labels": told_labels}
@@ -200,7 +238,8 @@ class BundleWriter:
             if old.startswith("v-") and old not in keep:
                 delete(self.spark, f"{self.path}/{old}")
         self._forget()
-        delete(self.spark, used)
+        for folder in temporary:
+            delete(self.spark, folder)
         return Bundle(self.spark, self.path)
 
     def _forget(self) -> None:

@@ -439,3 +439,17 @@ def test_keys_as_categories(bundle):
     assert keys.type.ordered and keys.dictionary.to_pylist() == bundle.uel_table() and str(keys.type.index_type) == "int16"
     empty = scan.where_keys({0: ["nobody"]}).to_arrow(categories=True)
     assert empty.num_rows == 0 and empty.schema.field("dim_0").type == table.schema.field("dim_0").type
+
+
+def test_several_symbols_are_staged_together_or_not_at_all(spark, tmp_path):
+    frame = lambda *rows: spark.createDataFrame([(x, float(n)) for n, x in enumerate(rows)], "k string, v double")
+    symbol = lambda name, *rows: {"name": name, "records": frame(*rows), "keys": ["k"], "values": {"level": "v"}, "order": ["v"]}
+    w = BundleWriter.create(spark, f"file://{tmp_path}/many")
+    for wrong in ([symbol("a", "x"), symbol("a", "y")], [symbol("a", "x"), symbol("b", "y", "y")], [symbol("a", "x"), symbol("b", None)], [symbol("", "x")]):
+        with pytest.raises(InvalidWriteInputError):
+            w.write_symbols(wrong)
+    w.write_symbols([symbol(f"s{n}", *[f"l{(n * 3 + i) % 10}" for i in range(4)]) for n in range(9)])
+    b = w.finish()
+    assert [s.name for s in b.symbols()] == [f"s{n}" for n in range(9)]
+    assert b.uel_table() == [f"l{i}" for i in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9)]
+    assert sorted(tuples(scan_symbol(b, "s8"))) == [("l4", 0.0), ("l5", 1.0), ("l6", 2.0), ("l7", 3.0)]
