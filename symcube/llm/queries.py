@@ -73,7 +73,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    """The deleted lines are told as text: ``first-last`` line numbers, comma-joined."""
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    told = F.array_join(F.transform("cut", lambda c: F.concat_ws("-", c["first"].cast("string"), c["last"].cast("string"))), ",")
+    return out.select("doc_id", "text", "n_lines", "n_deleted", told.alias("cut"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -89,7 +92,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
+# What Python's str.split takes for white space.
+_BLANK = r"\x09-\x0D\x1C-\x20\x{85}\p{Z}"
+
 ORACLES: dict[str, str] = {
+    "op10_line_dedup": rf"""
+        WITH l AS (
+            SELECT doc_id, unnest(range(len(s))) AS i, unnest(s) AS raw
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL)),
+        w AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS c
+            FROM (SELECT doc_id, i, regexp_replace(raw, '^[{_BLANK}]+|[{_BLANK}]+$', '', 'g') AS line,
+                         len(regexp_extract_all(raw, '[^{_BLANK}]+')) AS n FROM l) WHERE n > 0),
+        docs AS (SELECT doc_id, list(line ORDER BY i) AS lines FROM w GROUP BY doc_id),
+        x AS (
+            SELECT a.doc_id, a.p AS a, b.p AS b, b.c - a.c + a.n AS words, array_to_string(list_slice(d.lines, a.p, b.p), chr(10)) AS body
+            FROM w a JOIN w b ON b.doc_id = a.doc_id AND b.p BETWEEN a.p AND a.p + 20 JOIN docs d ON d.doc_id = a.doc_id
+            WHERE (b.c - a.c + a.n >= 10 AND b.c - a.c + a.n - b.n < 20) OR (b.c - a.c + a.n >= 20 AND b.c - a.c < 20)),
+        h AS (SELECT body, min(doc_id) AS holder FROM x GROUP BY body),
+        rare AS (SELECT line FROM w GROUP BY line HAVING count(DISTINCT doc_id) <= 64),
+        near AS (SELECT w.doc_id, w.p FROM w JOIN rare ON rare.line = w.line),
+        q AS (
+            SELECT x.doc_id, x.a, x.b FROM x JOIN h ON h.body = x.body AND h.holder < x.doc_id
+            WHERE x.words >= 20 OR EXISTS (SELECT 1 FROM near WHERE near.doc_id = x.doc_id AND near.p BETWEEN x.a AND x.b)),
+        gone AS (SELECT DISTINCT w.doc_id, w.p, w.i FROM w JOIN q ON q.doc_id = w.doc_id AND w.p BETWEEN q.a AND q.b),
+        span AS (SELECT g.doc_id, g.i AS low, coalesce(k.i - 1, g.i) AS high FROM gone g LEFT JOIN gone k ON k.doc_id = g.doc_id AND k.p = g.p + 1),
+        m AS (SELECT l.*, EXISTS (SELECT 1 FROM span WHERE span.doc_id = l.doc_id AND l.i BETWEEN low AND high) AS gone FROM l),
+        r AS (
+            SELECT doc_id, min(i) || '-' || max(i) AS said, min(i) AS low
+            FROM (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m WHERE gone) GROUP BY doc_id, run),
+        t AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+                   coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text FROM m GROUP BY doc_id)
+        SELECT d.doc_id, CASE WHEN t.n_deleted > 0 THEN t.text ELSE d.text END AS text, coalesce(t.n_lines, 0) AS n_lines,
+               coalesce(t.n_deleted, 0) AS n_deleted, (SELECT string_agg(said, ',' ORDER BY low) FROM r WHERE r.doc_id = d.doc_id) AS cut
+        FROM documents d LEFT JOIN t ON t.doc_id = d.doc_id""",
     "op2_ngram_join": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

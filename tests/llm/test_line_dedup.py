@@ -173,12 +173,11 @@ def test_block_of_two_documents_is_found_where_its_lines_stand_in_others(spark):
 
 
 def test_all_pairs(spark):
-    for seed in range(2):
+    for seed, how in enumerate(({}, {"rare_df": 4, "min_words": 8, "passage_words": 30})):
         docs = mosaic(seed)
-        for how in ({}, {"rare_df": 4, "min_words": 8, "passage_words": 30}):
-            got = deleted(spark, docs, **how)
-            assert got == all_pairs(docs, naive_blocks, **how)
-            assert all(p <= g for p, g in zip(all_pairs(docs, patience_blocks, **how), got, strict=True)) and any(got)
+        got = deleted(spark, docs, **how)
+        assert got == all_pairs(docs, naive_blocks, **how)
+        assert all(p <= g for p, g in zip(all_pairs(docs, patience_blocks, **how), got, strict=True)) and any(got)
 
 
 def test_every_place_of_a_repeated_passage_goes(spark):
@@ -234,7 +233,7 @@ def test_rows_of_every_kind(spark):
     assert sorted(d for n, _, _, _, d in got if n) == [0, 3] and len(got) == len(rows)
 
 
-@pytest.mark.parametrize(("kind", "ids"), [("decimal(20,0)", [decimal.Decimal(1), decimal.Decimal(2)]), ("tinyint", [1, 2]), ("string", ["a", "b"]), ("date", [datetime.date(2020, 1, 1), datetime.date(2020, 1, 2)])])
+@pytest.mark.parametrize(("kind", "ids"), [("decimal(20,0)", [decimal.Decimal(1), decimal.Decimal(2)]), ("date", [datetime.date(2020, 1, 1), datetime.date(2020, 1, 2)])])
 def test_types_of_ids(spark, kind, ids):
     got = dedup_lines(spark.createDataFrame([(i, line(1, 30)) for i in ids], f"doc_id {kind}, text string"))
     assert got.schema["doc_id"].dataType.simpleString() == kind
