@@ -232,19 +232,17 @@ def _task_lines(types):
 
 
 def _task_windows(types, min_words: int, passage_words: int):
-    """(hash, doc_id, tag, words, line): each window, and each line of a window below ``passage_words``, once per document."""
+    """(hash, doc_id, tag, words, line): each window, and each line below ``passage_words``, once per document."""
 
     def task(batches):
         for batch in sliced(batches, 2, 500_000):
             cols: list[list] = [[] for _ in types]
             for key, tag, data, numbers in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 digests, words = _split(data), _ints(numbers)
-                found: dict[bytes, tuple[int, bool]] = {}
+                # every document that holds a short line counts for its frequency
+                found = {d: (n, True) for d, n in zip(digests, words, strict=True) if n < passage_words}
                 for (a, b), n in window_ranges(words, min_words, passage_words).items():
-                    found.setdefault(window_hash(digests, a, b), (n, a == b and n < passage_words))
-                    if n < passage_words:
-                        for x in range(a, b + 1):
-                            found[digests[x]] = (words[x], True)
+                    found.setdefault(window_hash(digests, a, b), (n, False))
                 cols[0] += found
                 cols[1] += [key] * len(found)
                 cols[2] += [tag] * len(found)

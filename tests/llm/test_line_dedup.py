@@ -216,6 +216,14 @@ def test_block_with_and_without_boilerplate_in_an_earlier_document(spark):
     assert deleted(spark, [mid, b, c]) == [set(), set(), {1, 2, 3}]
 
 
+def test_frequency_counts_every_document_that_holds_a_line(spark):
+    short, other = line(1, 6), line(2, 7)
+    # in most documents the short line stands between long ones, in no run below a passage
+    docs = [f"{line(100 + i, 30)}\n{short}\n{line(200 + i, 30)}" for i in range(8)] + [f"{line(300 + i, 9)}\n{short}\n{other}\n{line(400 + i, 9)}" for i in range(9)]
+    for rare_df, want in ((20, {1, 2}), (17, {1, 2}), (16, {1, 2}), (8, set())):
+        assert deleted(spark, docs, rare_df=rare_df)[-1] == want == all_pairs(docs, naive_blocks, rare_df=rare_df)[-1]
+
+
 def test_hot_partner_and_crossing_blocks(spark):
     x, y = "\n".join(line(i, 9) for i in range(4)), "\n".join(line(i, 9) for i in range(10, 13))
     docs = [f"{x}\n{y}"] + [f"{line(100 + i)}\n{y}\n{line(200 + i)}\n{x}" for i in range(90)]
