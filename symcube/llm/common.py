@@ -35,6 +35,18 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/symcube-{uuid.uuid4().hex}"
 
 
+#: What a batch of rows on its way to a Python worker may hold: these bound the Arrow buffers of an executor.
+BATCH_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's 10,000 rows, of whatever length, unless the application chose its own."""
+    chosen = spark.sparkContext.getConf()
+    for key, value in BATCH_SETTINGS.items():
+        if not chosen.contains(key):
+            spark.conf.set(key, value)
+
+
 def is_local(master: str) -> bool:
     """Whether driver and executors are one process (``local-cluster`` is a cluster)."""
     return master == "local" or master.startswith("local[")
@@ -48,6 +60,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession):
+        bound_batches(spark)
         self.spark, self.root = spark, shared_dir(spark)
         self.paths: dict[str, str] = {}
         self.sent: list = []

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import held_out, id_type, sliced
+from symcube.llm.common import bound_batches, held_out, id_type, sliced
 from symcube.llm.features import document_sums, feature_counts
 
 LOW, HIGH, BITS = 1, 3, 16
@@ -109,6 +109,7 @@ def train(names: list[str], examples: list[tuple[np.ndarray, np.ndarray, int]],
 
 def fit(docs: DataFrame, per_language: int = 1500, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Train on about ``per_language`` documents of each language outside the held-out fold, on their whole texts."""
+    bound_batches(docs.sparkSession)
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(doc_id))
     known = known.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("y"))
     sizes = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}  # one row per language
@@ -139,6 +140,7 @@ def fit(docs: DataFrame, per_language: int = 1500, doc_id: str = "doc_id", text:
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", margin: float = 0.2) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score, ambiguous."""
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size per language
     slim = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).cast("string").alias("text"))
     kind, arrow = id_type(slim, "doc_id")

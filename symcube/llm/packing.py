@@ -26,20 +26,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from symcube.llm.common import id_type, materialize, text_or_empty
-from symcube.llm.tokens import encoded, encoder, in_order
+from symcube.llm.common import bound_batches, id_type, materialize, release_memory, text_or_empty
+from symcube.llm.tokens import CACHE_WORDS, encoded, encoder, in_order
 
 
-def encode_once(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", by_id: bool = False) -> DataFrame:
+def encode_once(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", by_id: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Pass 1, written: doc_id, part, local (tokens of the partition before it), n_tokens, ids (narrow little-endian)."""
+    bound_batches(docs.sparkSession)
     plain = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     rows = in_order(docs, doc_id, text) if by_id else plain
     kind, arrow = id_type(rows, "doc_id")
 
     def task(batches):
         part, local = TaskContext.get().partitionId(), 0
-        width = encoder(tokenizer).dtype.itemsize
-        for keys, ids in encoded(batches, tokenizer, end_id):
+        width = encoder(tokenizer, cache_words).dtype.itemsize
+        for keys, ids in encoded(batches, tokenizer, end_id, cache_words=cache_words):
             n = np.array([len(x) // width for x in ids], np.int64)
             ends = local + np.cumsum(n)
             yield pa.RecordBatch.from_pydict(
@@ -61,13 +62,14 @@ def with_start(ids: DataFrame) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = True, by_id: bool = False
+    docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = True, by_id: bool = False, cache_words: int = CACHE_WORDS
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, continued, continues[, ids].
 
-    ``ids`` are the piece's token ids as little-endian unsigned 32-bit integers.
+    ``ids`` are the piece's token ids as little-endian unsigned 32-bit integers.  ``cache_words`` bounds the words
+    whose ids a Python worker remembers: fewer cost some CPU time and save memory.
     """
-    stored = with_start(encode_once(docs, tokenizer, end_id, doc_id, text, by_id)).select("doc_id", "begin", "n_tokens", "ids")
+    stored = with_start(encode_once(docs, tokenizer, end_id, doc_id, text, by_id, cache_words)).select("doc_id", "begin", "n_tokens", "ids")
     kind, arrow = id_type(stored, "doc_id")
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     flags = ["continued", "continues"]
@@ -76,6 +78,7 @@ def pack(
     schema = pa.schema(fields)
 
     def task(batches):
+        release_memory()  # of the encoder's words, which this pass doesn't need
         for batch in batches:
             rows: list[tuple] = []
             for key, begin, n, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):

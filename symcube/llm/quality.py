@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import held_out, id_type, release_memory, sliced
+from symcube.llm.common import bound_batches, held_out, id_type, release_memory, sliced
 from symcube.llm.features import document_sums, feature_counts, repeats
 
 LOW, HIGH, BITS = 3, 4, 18
@@ -87,6 +87,7 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 12, epo
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """Train on a sample of about ``per_class`` labelled documents of each class outside the held-out fold, on their whole texts."""
+    bound_batches(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & ~held_out(doc_id)).groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("int").alias("y"))
     known = known.where("y IN (0, 1) AND id IS NOT NULL")
     sizes = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -117,6 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, doc_id: str =
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted."""
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a fixed-size table
     slim = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).cast("string").alias("text"))
     kind, arrow = id_type(slim, "doc_id")
@@ -134,6 +136,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 def keep_good(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
     """The documents that the model does not reject, with all their columns."""
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def good(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import _parse_datatype_string
 
-from symcube.llm.common import id_type, materialize, shared_dir
+from symcube.llm.common import bound_batches, id_type, materialize, shared_dir
 from symcube.llm.tokens import encoded, encoder, in_order
 
 MAGIC = b"SSTIDS01"
@@ -207,6 +207,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, doc_id: str =
     kind, arrow = id_type(docs, doc_id)
     if not (pa.types.is_integer(arrow) or pa.types.is_string(arrow)):
         raise TypeError(f"shards are keyed by integers or strings, not by {kind}")
+    bound_batches(docs.sparkSession)
     root = path or f"{shared_dir(docs.sparkSession)}/shards"
     rows = in_order(docs, doc_id, text)
 

@@ -23,6 +23,10 @@ _MARKED = re.compile(r"(\0?[^\W\d_]+)([^\w\s']+)")
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
+#: Words that each of an encoder's two cache generations holds.
+CACHE_WORDS = 420_000
+
+
 class _Whole(Exception):
     """A piece that can't be encoded apart from its text."""
 
@@ -38,7 +42,7 @@ class Encoder(dict):
     word that begins a text or line -> ids.  It has two generations of at most ``cache_words`` words.
     """
 
-    def __init__(self, path: str, cache_words: int = 420_000):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, models, pre_tokenizers
@@ -130,7 +134,7 @@ class Encoder(dict):
         return out
 
 
-def encoder(path: str, cache_words: int = 420_000) -> Encoder:
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> Encoder:
     """The worker's encoder of this vocabulary; Python workers are reused, and so is its cache."""
     key = (path, cache_words)
     if key not in _ENCODERS:
@@ -139,9 +143,9 @@ def encoder(path: str, cache_words: int = 420_000) -> Encoder:
     return _ENCODERS[key]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, chunk_bytes: int = 2_000_000) -> Iterator[tuple[list, list[bytes]]]:
+def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, chunk_bytes: int = 2_000_000, cache_words: int = CACHE_WORDS) -> Iterator[tuple[list, list[bytes]]]:
     """(ids column, id bytes with the end id) of batches of (doc_id, text), a bounded number of bytes or one text at a time."""
-    enc = encoder(path)
+    enc = encoder(path, cache_words)
     end = np.array([end_id], enc.dtype).tobytes()
     for part in sliced(batches, 1, chunk_bytes, keep_caches=True):
         yield part.column(0).to_pylist(), [x + end for x in enc.encode([t or "" for t in part.column(1).to_pylist()])]

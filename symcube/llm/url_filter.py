@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from symcube.llm import bloom
-from symcube.llm.common import id_type, materialize
+from symcube.llm.common import bound_batches, id_type, materialize
 
 def host_path(url: str = "url") -> tuple[Column, Column]:
     """Host and path of a url column, as the module's docstring defines them."""
@@ -65,6 +65,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, page_id:
 
     ``rules`` has host, path and verdict; ``listed`` has the column url, in any spelling.
     """
+    bound_batches(pages.sparkSession)
     rule = F.concat("host", "path")
     known = rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL").groupBy("host", "path")
     known = known.agg(F.max("verdict").alias("verdict")).select(F.concat(F.lit("R "), "host", F.lit("#"), "path").alias("key"), rule.alias("rule"), "verdict", F.char_length("path").alias("n"))
