@@ -61,7 +61,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts give a piece with the end id alone; every row is packed, repeated rows too, in stored order.
     """
-    return packing.pack(docs, tokenizer(), length=2048, end_id=1)
+    return packing.pack(docs, tokenizer(), length=2048, end_id=1, cache_words=100_000)
 
 
 STAGES = [
