@@ -52,6 +52,10 @@ def is_local(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+#: Rows of a file of a small table.
+ROWS_A_FILE = 200_000
+
+
 class Workspace:
     """The intermediate tables of one run of an operator, in one folder of the shared file system.
 
@@ -71,8 +75,14 @@ class Workspace:
         self.sent.append(self.spark.sparkContext.broadcast(value))
         return self.sent[-1]
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return a reader of it; a repeated name replaces the older table's entry."""
+    def put(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write ``df`` once and return a reader of it.
+
+        ``rows``, an upper bound that is known beforehand, keeps a small table from many tiny files: its last stage runs in
+        a task for each ``ROWS_A_FILE`` of them.
+        """
+        if rows is not None:
+            df = df.coalesce(rows // ROWS_A_FILE + 1)
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
         df.write.parquet(path)

@@ -334,6 +334,7 @@ def common_blocks(
     # a document's own windows: bounded by the document; sets, as repeated rows repeat them
     per_doc = shared.groupBy("doc_id", "tag").agg(F.collect_set(partner).alias("partners"), F.collect_set(rare).alias("rare"))
     per_doc = work.put(per_doc.where(F.size("partners") > 0), "linked")
+    count = per_doc.agg(F.sum(F.size("partners")).alias("n")).first()["n"] or 0  # of pairs; no more documents than twice that
     pairs = per_doc.select("doc_id", "tag", "rare", F.explode("partners").alias("p")).select(F.col("p.doc_id").alias("p_id"), F.col("p.tag").alias("p_tag"), "doc_id", "tag", "rare")
     sizes = pairs.groupBy("p_id", "p_tag").agg(F.ceil(F.count("*") / portion).alias("parts"))
 
@@ -342,7 +343,7 @@ def common_blocks(
     both = lambda x, y: x.eqNullSafe(y)
     have = lists.join(ends, [both(lists["doc_id"], ends["e_id"]), lists["tag"] == ends["e_tag"]], "left_semi")
     have = have.groupBy("doc_id", "tag").agg(F.first(F.struct("digests", "words", "places")).alias("l")).select("doc_id", "tag", "l.*")
-    have = work.put(have, "have")
+    have = work.put(have, "have", 4 * count)
     no_set = F.lit(None).cast("array<binary>").alias("rare")
     named = sizes.withColumnsRenamed({"p_id": "s_id", "p_tag": "s_tag"})
     own = have.join(named, [both(have["doc_id"], named["s_id"]), have["tag"] == named["s_tag"]])

@@ -413,20 +413,21 @@ def pivot_links(have: DataFrame, link: tuple[int, int], portion: int) -> DataFra
     return _dealt(own.unionByName(rest), ["pivot", "part"], ("member",)).mapInArrow(_pivot_task(link), "a binary, b binary")
 
 
-def block_links(have: DataFrame, link: tuple[int, int], block_tokens: int, work: Workspace) -> DataFrame:
+def block_links(have: DataFrame, link: tuple[int, int], block_tokens: int, work: Workspace, rows: int) -> DataFrame:
     """Verified links (a, b) between different classes ("known") of the clusters ("root")."""
     # a large cluster is cut by size: linked sets are in the same band or in neighbouring ones
     have = have.withColumn("band", F.floor(F.log("n") / F.log(F.lit(link[1] / link[0]))).cast("long"))
-    # sums are taken by partial aggregation, and only they are gathered by cluster
-    per_band = have.groupBy("root", "known", "band").agg(F.sum("n").alias("n"))
-    per_class = per_band.groupBy("root", "known").agg(F.sum("n").alias("n"))
-    largest = per_class.groupBy("root").agg(F.sum("n").alias("total"), F.max(F.struct("n", "known")).alias("m"))
-    large = largest.where(F.col("total") > block_tokens).select("root", F.col("m.known").alias("main"))
+    # each step is a table by itself: sums are taken by partial aggregation, and no hot cluster is gathered for the next one
+    large = work.put(have.groupBy("root").agg(F.sum("n").alias("n")).where(F.col("n") > block_tokens).select("root"), "large", rows)
+    per_band = work.put(have.join(large, "root", "left_semi").groupBy("root", "known", "band").agg(F.sum("n").alias("n")), "bands", rows)
+    per_class = work.put(per_band.groupBy("root", "known").agg(F.sum("n").alias("n")), "per_class", rows)
+    largest = work.put(per_class.groupBy("root").agg(F.max(F.struct("n", "known")).alias("m")).select("root", F.col("m.known").alias("main")), "largest", rows)
     # blocks are numbered by kind (1: of the largest class), band and a part by hash
     group = (F.col("known") == F.col("main")).cast("long") * 4096 + F.col("band")
-    per_group = per_band.join(large, "root").groupBy("root", "main", group.alias("g")).agg(F.ceil(F.sum("n") / block_tokens).alias("parts"))
+    grouped = work.put(per_band.join(largest, "root").select("root", "main", group.alias("g"), "n"), "grouped", rows)
+    per_group = grouped.groupBy("root", "main", "g").agg(F.ceil(F.sum("n") / block_tokens).alias("parts"))
     cut = per_group.groupBy("root", "main").agg(F.map_from_entries(F.collect_list(F.struct("g", "parts"))).alias("parts"))
-    cut = work.put(cut, "cut")  # a table by itself, so that adaptive execution may split a hot cluster's side of the join
+    cut = work.put(cut, "cut", rows)
     have = have.join(cut, "root", "left").withColumn("g", group)
     number = lambda g, p: g * F.lit(1 << 32) + p
     block = number(F.col("g"), F.pmod(F.xxhash64("sid"), F.element_at("parts", F.col("g"))))
@@ -438,8 +439,8 @@ def block_links(have: DataFrame, link: tuple[int, int], block_tokens: int, work:
     whole = F.col("parts").isNull()
     have = have.withColumn("block", F.when(whole, F.lit(0).cast("long")).otherwise(block))
     have = have.withColumn("other", F.explode(F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(near)))
-    rows = have.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "sid", "tokens", "block", "known")
-    return _dealt(rows, ["root", "low", "high"]).mapInArrow(_block_task(link), "a binary, b binary")
+    met_rows = have.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "sid", "tokens", "block", "known")
+    return _dealt(met_rows, ["root", "low", "high"]).mapInArrow(_block_task(link), "a binary, b binary")
 
 
 def _classes(
@@ -467,25 +468,27 @@ def _classes(
     late = work.put(texts.mapInArrow(_late_task(words, link, known, bloom_of(late)), "sig long, sid binary"), "late")
     index = early.where("sig IS NOT NULL").select("sig", "sid").unionByName(late)
     edges = candidate_edges(index, bloom_bytes, work)
-    clusters = connected_components(edges, work=work)
+    count = edges.count()
+    clusters = connected_components(edges, work=work, rows=count)
 
     # one document of each clustered set supplies its tokens
     pivots = edges.groupBy(F.col("a").alias("sid")).agg(F.min("b").alias("pivot"))
     members = base.where("sid IS NOT NULL").groupBy("sid").agg(F.min("tag").alias("tag"), F.max("n_shingles").alias("n"))
     members = clusters.select(F.col("node").alias("sid"), "root").join(members, "sid").join(pivots, "sid", "left")
-    members = work.put(members, "members")
+    members = work.put(members, "members", 2 * count)  # a node is the end of an edge
+    count = members.count()
     tokens = texts.mapInArrow(_picked_task(words, bloom_of(members.select("tag"))), "sid binary, tokens binary")
     tokens = work.put(tokens, "tokens").groupBy("sid").agg(F.first("tokens").alias("tokens"))
-    have = work.put(members.drop("tag").join(tokens, "sid"), "have")
+    have = work.put(members.drop("tag").join(tokens, "sid"), "have", 20 * count)  # these rows are large
 
     links = work.put(pivot_links(have, link, portion), "links")
-    classes = connected_components(links, work=work).select(F.col("node").alias("sid"), F.col("root").alias("class"))
+    classes = connected_components(links, work=work, rows=count).select(F.col("node").alias("sid"), F.col("root").alias("class"))
     placed = members.select("sid", "root").join(classes, "sid", "left").select("sid", "root", F.coalesce("class", "sid").alias("known"))
     split = placed.groupBy("root").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low <> high").select("root")
-    rest = work.put(placed.join(split, "root").select("sid", "known"), "open")
-    more = work.put(block_links(have.select("sid", "root", "n", "tokens").join(rest, "sid"), link, block_tokens, work), "more")
+    rest = work.put(placed.join(split, "root").select("sid", "known"), "open", count)
+    more = work.put(block_links(have.select("sid", "root", "n", "tokens").join(rest, "sid"), link, block_tokens, work, count), "more")
     if not more.isEmpty():
-        classes = connected_components(links.unionByName(more), work=work).select(F.col("node").alias("sid"), F.col("root").alias("class"))
+        classes = connected_components(links.unionByName(more), work=work, rows=count + more.count()).select(F.col("node").alias("sid"), F.col("root").alias("class"))
 
     labelled = base.where("sid IS NOT NULL").join(classes, "sid", "left").withColumn("class", F.coalesce("class", "sid"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag"))  # the smallest id; null if there is none
@@ -493,7 +496,7 @@ def _classes(
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag"))
     linked = labelled.join(ids, "class").select("doc_id", "tag", "n_shingles", F.col("first.doc_id").alias("component_id"), own.alias("stays"))
     alone = base.where("sid IS NULL").select("doc_id", "tag", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
-    result = work.put(linked.unionByName(alone), "result")
+    result = work.put(linked.unionByName(alone), "result", base.count())
     work.clear("result")
     return result
 
