@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symcube.llm.common import bound_batches, held_out, id_type, sliced
+from symcube.llm.common import bound_batches, held_out, id_type, release_memory, sliced
 from symcube.llm.features import document_sums, feature_counts
 
 LOW, HIGH, BITS = 1, 3, 16
@@ -135,7 +135,11 @@ def fit(docs: DataFrame, per_language: int = 1500, doc_id: str = "doc_id", text:
     table = picked.mapInArrow(task, "id string, y string, u binary, n binary").limit(2 * per_language * max(len(sizes), 1)).toArrow()
     rows = sorted(zip(*(table[c].to_pylist() for c in ("id", "y", "u", "n")), strict=True))
     names = sorted(sizes)
-    return train(names, [(np.frombuffer(u, np.int32), np.frombuffer(n, np.int32), names.index(y)) for _, y, u, n in rows])
+    del table
+    model = train(names, [(np.frombuffer(u, np.int32), np.frombuffer(n, np.int32), names.index(y)) for _, y, u, n in rows])
+    del rows
+    release_memory()  # of the driver
+    return model
 
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", margin: float = 0.2) -> DataFrame:

@@ -113,7 +113,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, doc_id: str =
 
     table = texts.mapInArrow(task, "id string, y int, u binary, n binary").limit(4 * per_class).toArrow()  # more only if ids repeat
     rows = sorted(zip(*(table[c].to_pylist() for c in ("id", "y", "u", "n")), strict=True))
-    return train([(np.frombuffer(u, np.int32), np.frombuffer(n, np.int32), y) for _, y, u, n in rows])
+    del table
+    model = train([(np.frombuffer(u, np.int32), np.frombuffer(n, np.int32), y) for _, y, u, n in rows])
+    del rows
+    release_memory()  # of the driver
+    return model
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
